@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
 from .exact import exact_duplicates
+from .simhash import near_duplicates
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_exact_dedup": op10_exact_dedup}
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_simhash": op9_simhash,
+    "op10_exact_dedup": op10_exact_dedup,
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op10_exact_dedup": r"""
