@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import public_tokenizers
+
+from .bpe import digest_texts
 from .chat import digest, format_conversations
 from .common import read
 from .exact import exact_duplicates
@@ -30,6 +33,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(format_conversations(turns.unionAll(spark.createDataFrame(HOSTILE, turns.schema))))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return digest_texts(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -37,6 +45,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
+    "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
