@@ -12,6 +12,7 @@ from .bpe import digest_texts
 from .chat import digest, format_conversations
 from .common import read
 from .exact import exact_duplicates
+from .html import main_text
 from .licences import scan_licences
 from .simhash import near_duplicates
 
@@ -33,6 +34,10 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(format_conversations(turns.unionAll(spark.createDataFrame(HOSTILE, turns.schema))))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read(spark, sf_dir, "pages"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return digest_texts(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -45,6 +50,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
+    "op5_html_text": op5_html_text,
     "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
