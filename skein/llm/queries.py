@@ -13,6 +13,7 @@ from .chat import digest, format_conversations
 from .common import read
 from .exact import exact_duplicates
 from .html import main_text
+from .langid import language_of
 from .licences import scan_licences
 from .simhash import near_duplicates
 
@@ -34,6 +35,11 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(format_conversations(turns.unionAll(spark.createDataFrame(HOSTILE, turns.schema))))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_of(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read(spark, sf_dir, "pages"))
 
@@ -50,6 +56,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
+    "op3_language_id": op3_language_id,
     "op5_html_text": op5_html_text,
     "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
