@@ -11,6 +11,7 @@ import public_tokenizers
 from .bpe import digest_texts
 from .chat import digest, format_conversations
 from .common import read
+from .decontaminate import contaminated
 from .exact import exact_duplicates
 from .html import main_text
 from .langid import language_of
@@ -40,6 +41,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of(docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read(spark, sf_dir, "pages"))
 
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_chat_format": op2_chat_format,
     "op3_language_id": op3_language_id,
+    "op4_decontaminate": op4_decontaminate,
     "op5_html_text": op5_html_text,
     "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
