@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import public_tokenizers
 
@@ -16,6 +17,7 @@ from .exact import exact_duplicates
 from .html import main_text
 from .langid import language_of
 from .licences import scan_licences
+from .pylm import score_texts
 from .simhash import near_duplicates
 
 
@@ -49,6 +51,12 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read(spark, sf_dir, "pages"))
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    scored = score_texts(read(spark, sf_dir, "documents"), F.coalesce(fold, F.lit(False)))
+    return scored.withColumn("held_out", F.coalesce(fold, F.lit(False)))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return digest_texts(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -64,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
     "op5_html_text": op5_html_text,
+    "op7_lm_score": op7_lm_score,
     "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
