@@ -17,6 +17,7 @@ from .exact import exact_duplicates
 from .html import main_text
 from .langid import language_of
 from .licences import scan_licences
+from .paragraphs import repeated_paragraphs
 from .pylm import score_texts
 from .simhash import near_duplicates
 
@@ -51,6 +52,10 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(read(spark, sf_dir, "pages"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_paragraphs(read(spark, sf_dir, "documents"))
+
+
 def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     scored = score_texts(read(spark, sf_dir, "documents"), F.coalesce(fold, F.lit(False)))
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
     "op5_html_text": op5_html_text,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_lm_score": op7_lm_score,
     "op8_bpe": op8_bpe,
     "op9_simhash": op9_simhash,
