@@ -17,6 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 #: Pieces whose encoding a worker remembers.
 MEMORY = 200_000
@@ -225,7 +226,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
             ids = pa.array([codec.encode(t.as_py() or "") for t in batch.column(at)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
 
-    return rest.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema) + ", ids array<int>")
+    return rest.mapInArrow(run, StructType([*rest.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 #: Labelled documents fitted on at most, bytes of a document among them at most; both bound the driver's memory.
 SAMPLE, SAMPLE_BYTES = 1_500, 1 << 20
@@ -235,7 +236,7 @@ def identify(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
     """
     rest = docs.drop("lang_pred", "score")
     at = rest.columns.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema)
+    schema = StructType([*rest.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,7 +250,7 @@ def identify(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
             cols = [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names, "lang_pred", "score"])
 
-    return rest.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return rest.mapInArrow(run, schema)
 
 
 def held_out(id_col: str, folds: int = 3, fold: int = 1):
