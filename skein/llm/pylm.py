@@ -29,7 +29,7 @@ DISCOUNT, STRENGTH = (0.5, 0.6, 0.75), (1.0, 1.0, 1.0)  # unigram, parents, cont
 SWEEPS, ROUNDS, SAMPLES = 3, 2, 3
 EXACT = 48
 #: Tokens a task gathers before it passes them on.
-TOKENS = 3_000_000
+TOKENS = 1_000_000
 #: The end of a text as a token: no word is a single space.
 END = xxhash.xxh64_intdigest(b" ", 0)
 LEVELS = 3
@@ -70,8 +70,8 @@ def draw_tables(c: np.ndarray, others: np.ndarray, base: np.ndarray, level: int,
     t = np.minimum(c, 1)
     for low, high in ((2, 4), (5, 12), (13, EXACT)):
         at = np.flatnonzero((c >= low) & (c <= high))
-        for i in range(0, len(at), 1 << 16):
-            some = at[i : i + (1 << 16)]
+        for i in range(0, len(at), 1 << 13):
+            some = at[i : i + (1 << 13)]
             k = np.arange(1, high + 1)
             opened = np.cumsum(np.log(theta + d * (others[some, None] + k[None, :] - 1)), axis=1)
             logp = _STIRLING[level][c[some], 1 : high + 1] + opened + k[None, :] * np.log(base[some, None])
@@ -152,18 +152,25 @@ def _dealt(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordB
 
     def flush() -> Iterator[pa.RecordBatch]:
         sizes = np.array([len(x[1]) for x in hold])
-        doc = np.repeat(np.arange(len(hold)), sizes)
-        ids = np.concatenate([x[1] for x in hold])
-        context = np.concatenate([x[2] for x in hold])
-        words, word = np.unique(ids, return_inverse=True)
+        words, word = np.unique(np.concatenate([x[1] for x in hold]), return_inverse=True)
         part_of = (words >> np.uint64(20)) % np.uint64(parts)
-        order = np.lexsort((doc, context, word, part_of[word]))
-        doc, context, word = doc[order], context[order], word[order]
-        new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(context, prepend=-1) != 0) | (np.diff(word, prepend=-1) != 0))
-        n = np.diff(np.append(new, len(doc)))
-        doc, context, word = doc[new], context[new], word[new]
-        at = part_of[word]
-        bounds = np.searchsorted(at, np.arange(parts + 1, dtype=np.uint64))
+        order = np.argsort(part_of, kind="stable")
+        place = np.empty(len(words), np.uint64)
+        place[order] = np.arange(len(words), dtype=np.uint64)
+        words, part_of = words[order], part_of[order]
+        # One number sorts by part, word, context and document: at most TOKENS words and documents, give or take a text.
+        bits = np.uint64(max(1, len(hold) - 1).bit_length())
+        key = (place[word] << np.uint64(16)) | np.concatenate([x[2] for x in hold]).astype(np.uint64)
+        del word
+        key = (key << bits) | np.repeat(np.arange(len(hold), dtype=np.uint64), sizes)
+        key.sort()
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        n = np.diff(np.append(new, len(key)))
+        key = key[new]
+        doc = (key & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        context = ((key >> bits) & np.uint64(0xFFFF)).astype(np.int64)
+        word = (key >> (bits + np.uint64(16))).astype(np.int64)
+        bounds = np.searchsorted(part_of[word], np.arange(parts + 1, dtype=np.uint64))
         rows = []
         for p in range(parts):
             a, b = bounds[p], bounds[p + 1]
@@ -303,9 +310,8 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
                     w.seat(totals, size, rng)
                     p += w.probabilities(totals, size, key // 65536, key % 65536)[2]
                 seen = np.bincount(w.word, w.n, w.words)
-                logs = np.log10(p / SAMPLES)[back]
-                base = np.log10(seen + 1)[word]
-                sums = [np.bincount(doc, x * times, m) for x in (np.ones(k), seen[word] > 0, base, logs)]
+                logs, base = np.log10(p / SAMPLES), np.log10(seen + 1)
+                sums = [np.bincount(doc, x, m) for x in (times, (seen > 0)[word] * times, base[word] * times, logs[back] * times)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids), *(pa.array(s.astype(np.int64)) for s in sums[:2]), *(pa.array(s) for s in sums[2:])], ["id", "n_tokens", "n_known", "base", "score"]
                 )
