@@ -35,12 +35,12 @@ SCALES = (16, 32, 64, 128)
 COSINE, SAME, PARAPHRASE = 0.6, 0.8, 0.6
 #: Words searched at once.
 WORDS = 300_000
-_TABLE = bytes(c if c >= 0x80 or chr(c).isdigit() or chr(c).islower() else ord(chr(c).lower()) if chr(c).isupper() else 32 for c in range(256))
+_TABLE = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """Runs of letters, digits and bytes beyond ASCII; A-Z lower-cased."""
-    return text.translate(_TABLE).split()
+def words_of(text: str) -> list[bytes]:
+    """Runs of letters, digits and characters beyond ASCII, whatever their case."""
+    return text.casefold().encode().translate(_TABLE).split()
 
 
 class Item:
@@ -48,9 +48,9 @@ class Item:
 
     def __init__(self, item_id, text: str, number: dict[bytes, int]):
         self.id = item_id
-        self.words = [number[w] for w in words_of(text.encode())]
-        last = [s for s in re.split(r"[.!?\n]+", text) if words_of(s.encode())][-1:]
-        self.answer = [number[w] for w in words_of(last[0].encode())] if last else []
+        self.words = [number[w] for w in words_of(text)]
+        last = [s for s in re.split(r"[.!?\n]+", text) if words_of(s)][-1:]
+        self.answer = [number[w] for w in words_of(last[0])] if last else []
         self.at: dict[int, int] = defaultdict(int)
         for i, w in enumerate(self.words):
             self.at[w] |= 1 << i
@@ -82,7 +82,7 @@ def _numbered(docs: DataFrame, number: dict[bytes, int], id_col: str, text_col:
         for batch in batches:
             out, df = [], np.zeros(size, np.int64)
             for text in batch.column(1):
-                words = words_of(text.as_buffer().to_pybytes()) if text.is_valid else []
+                words = words_of(text.as_py() or "")
                 ids = np.fromiter(map(number.get, words, repeat(0)), np.int32, len(words))
                 out.append(ids.tobytes())
                 if len(ids):
@@ -253,7 +253,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def _block(docs: DataFrame, texts: list[tuple[object, str]], id_col: str, text_col: str, item_col: str, schema: str) -> DataFrame:
     number: dict[bytes, int] = {}
     for _, text in texts:
-        for w in words_of(text.encode()):
+        for w in words_of(text):
             number.setdefault(w, len(number) + 1)
     items = [x for x in (Item(i, t, number) for i, t in texts) if x.words]
     spark = docs.sparkSession
