@@ -82,7 +82,7 @@ def json_ld_types(pages: DataFrame, keys: list[str], html: str = "html") -> Data
 
 
 def json_ld_records(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
-    """JSON-05: one record per key, folded over its blocks in order: later names win, images fill blanks, genres and cast
+    """JSON-05, DATE-04: one record per key, folded over its blocks in order: later names win, images fill blanks, genres and cast
     add up, the year is the first found."""
     v = lambda path, kind="string": F.expr(f"try_variant_get(ld, '{path}', '{kind}')")
     text_of = lambda name: F.when(F.expr(f"schema_of_variant(variant_get(ld, '$.{name}')) = 'STRING'"), none_if_empty(v(f"$.{name}")))
@@ -126,7 +126,7 @@ def banner(c: Column) -> Column:
 
 
 def anchors(c: Column) -> Column:
-    """HTML-01 by expression: addresses of anchors, distinct, in order."""
+    """HTML-01, SET-05 by expression: addresses of anchors, distinct, in order."""
     return F.array_distinct(F.regexp_extract_all(text(c), F.lit(r'<a href="([^"]*)"'), F.lit(1)))
 
 
@@ -141,3 +141,20 @@ def page_text(c: Column) -> Column:
     for a, b in (("&quot;", '"'), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         out = F.replace(out, F.lit(a), F.lit(b))
     return F.trim(F.regexp_replace(out, r"[ \t\n\r\f]+", " "))
+
+
+def page_records(pages: DataFrame, keys: list[str], html: str = "html") -> DataFrame:
+    """HTML-03: streaming records of pages: JSON-LD first, then the banner, title, description and language of the meta
+    elements where that is blank; a page without a title gives none."""
+    h = F.col(html)
+    meta = pages.select(
+        *keys, meta_content(h, "title").alias("m_title"), meta_content(h, "description").alias("m_description"), banner(h).alias("m_banner"),
+        meta_content(h, "inLanguage").alias("m_language"), page_title(h).alias("p_title"),
+    )
+    both = meta.join(json_ld_records(pages, keys, html), keys, "left")
+    pick = lambda *c: text(F.coalesce(*(none_if_empty(F.col(x)) for x in c)))
+    return both.select(
+        *keys, pick("title", "m_title", "p_title").alias("title"), pick("description", "m_description").alias("description"),
+        pick("m_banner", "banner_url").alias("banner_url"), pick("thumbnail_url", "m_banner").alias("thumbnail_url"), pick("language", "m_language").alias("language"),
+        pick("year").alias("year"), pick("content_type").alias("content_type"), pick("free_or_paid").alias("free_or_paid"), pick("director").alias("director"), "genres", "cast",
+    ).where("title <> ''")

@@ -129,6 +129,11 @@ def equal_fold(a: Column, b: Column) -> Column:
     return F.lower(a) == F.lower(b)
 
 
+def same_language(a: Column, b: Column) -> Column:
+    """PRED-04: names of a language, equal but for case."""
+    return equal_fold(a, b)
+
+
 def split_names(c: Column) -> Column:
     """STR-19: names between commas and line ends, of 2 to 59 bytes."""
     return F.filter(F.transform(F.split(c, r"[,\n]"), strip), lambda s: (F.octet_length(s) > 1) & (F.octet_length(s) < 60))

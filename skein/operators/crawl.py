@@ -96,3 +96,30 @@ def sitemap_plan(frontier: DataFrame, sitemaps: DataFrame, expanded: DataFrame,
     fresh = frontier.select("crawl_id", host(F.col("url")).alias("domain")).distinct().join(expanded, ["crawl_id", "domain"], "left_anti")
     urls = fresh.join(sitemaps, "domain").select("crawl_id", F.col("loc").alias("url"), F.lit(0).alias("depth"), F.concat(F.lit("sitemap:"), "sitemap").alias("discovered_from"))
     return unseen(urls, seen)
+
+
+def full_plan(frontier: DataFrame, pages: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """STM-12: (stored, queued, errors) of one step without robots rules: every 200 is stored and all its links, resolved
+    against the requested address, are queued once, a level deeper; 304 is skipped; another status is an error."""
+    got = frontier.join(pages, "url").withColumn("action", route(F.col("status"), "full"))
+    stored = got.where("action = 'store'")
+    links = stored.select("crawl_id", F.col("url").alias("discovered_from"), (F.col("depth") + 1).alias("depth"), F.explode("links").alias("url"))
+    order = F.row_number().over(Window.partitionBy("crawl_id", "url").orderBy("depth", "discovered_from"))
+    return stored, unseen(links.withColumn("__n", order).where("__n = 1").drop("__n"), seen), got.where("action = 'error'")
+
+
+def retry_plan(attempts: DataFrame, most: int = 3) -> DataFrame:
+    """STM-14: per url the outcome of its attempts(url, attempt, status) and the seconds waited between them: n + 1 after
+    attempt n, three more after a 429; later attempts than `most` don't count."""
+    rows = attempts.where(F.col("attempt") < most)
+    wait = F.when(F.col("status") == 200, 0).otherwise(F.col("attempt") + 1 + F.when(F.col("status") == 429, 3).otherwise(0))
+    return rows.groupBy("url").agg(F.max_by("status", "attempt").alias("status"), (F.max("attempt") + 1).alias("attempts"), F.sum(wait).alias("waited_s"))
+
+
+def fan_out(urls: DataFrame, workers: int, per_second: float, key: str = "url") -> DataFrame:
+    """STM-15: urls dealt to workers that share one ticker: worker and start (microseconds) of each, in order of key within
+    a worker; together they start per_second requests a second."""
+    gap = int(workers / per_second * 1_000_000)
+    rows = urls.withColumn("worker", F.pmod(F.xxhash64(key), F.lit(workers)).cast("int"))
+    n = F.row_number().over(Window.partitionBy("worker").orderBy(key)) - 1
+    return rows.withColumn("start_us", (n * gap + F.col("worker") * (gap // workers)).cast("bigint"))

@@ -2,7 +2,8 @@
 
 Rows come in a total order (ord). A row joins the first earlier root that shares a key with it, by the rank of the pass;
 a row that finds none becomes a root. Rows of the first source are always roots. Who is a root depends on earlier rows,
-so roots are found in rounds: a row is decided once no undecided earlier row could become its match.
+so roots are found in rounds: a row is decided once no undecided earlier row could become its match. Results are sets
+(SORT-03): what has an order carries ord.
 """
 
 from __future__ import annotations

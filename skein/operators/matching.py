@@ -15,7 +15,7 @@ def left_by_key(left: DataFrame, right: DataFrame, key: str, right_key: str | No
 
 
 def with_cast(titles: DataFrame, principals: DataFrame, key: str = "imdb_id") -> DataFrame:
-    """JOIN-02: titles' cast lists, with those of principals(tconst, cast) appended: members not named yet, but for case,
+    """JOIN-02, ARR-04: titles' cast lists, with those of principals(tconst, cast) appended: members not named yet, but for case,
     the first of a name only; the titles' own duplicates stay."""
     more = left_by_key(titles, principals.withColumnRenamed("cast", "__more"), key, "tconst")
     own = F.coalesce("cast", F.array().cast(titles.schema["cast"].dataType))
@@ -56,7 +56,7 @@ def candidates(titles: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def score(t: dict[str, Column], r: dict[str, Column]) -> tuple[Column, Column]:
-    """MATH-01: confidence in hundredths (exact integers) and the signals that made it."""
+    """MATH-01, JOIN-13, SET-04: confidence in hundredths (exact integers) and the signals that made it."""
     clean = strip_disambig(r["title"])
     has = lambda c: text(c) != ""
     same = lambda a: norm_title(a).isin(norm_title(clean), norm_title(r["title"]))
@@ -89,7 +89,7 @@ def scored(titles: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def best_match(titles: DataFrame, records: DataFrame, least: int = 50) -> DataFrame:
-    """JOIN-06: per title the candidate of most points, at least `least`; ties to the earlier probe, then record.
+    """JOIN-06, WIN-01: per title the candidate of most points, at least `least`; ties to the earlier probe, then record.
 
     An aggregate, not a window: partial maxima are taken before the shuffle.
     """

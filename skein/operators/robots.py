@@ -71,7 +71,7 @@ def crawl_delay(found: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def sitemap_urls(sitemaps: DataFrame, root: str, limit: int = SITEMAP_LIMIT, depth: int = 2) -> DataFrame:
-    """SRC-16: (loc, place) of a sitemap over sitemaps(loc, body): an index is followed down to `depth` levels, broken or
+    """SRC-16, LIM-03: (loc, place) of a sitemap over sitemaps(loc, body): an index is followed down to `depth` levels, broken or
     missing children give nothing; order of the documents; at most `limit`."""
     locs = F.filter(F.transform(F.regexp_extract_all(text(F.col("body")), F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1)), lambda x: strip(x)), lambda x: x != "")
     parsed = sitemaps.select(F.col("loc").alias("from"), text(F.col("body")).rlike(r"(?s)<sitemapindex[\s>]").alias("is_index"), F.posexplode(locs).alias("i", "loc"))

@@ -61,7 +61,7 @@ def basics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def titles(spark: SparkSession, path: str, kind: str = "movie", flat: bool = False) -> tuple[DataFrame, DataFrame]:
-    """SRC-04, SRC-04b: (titles, rejects) of either record form: broken records and those without a title are rejected."""
+    """SRC-04, SRC-04b, PRED-18: (titles, rejects) of either record form: broken records and those without a title are rejected."""
     rows = json_lines(spark, path, schemas.MOVIES_FLAT if flat else schemas.MOVIES if kind == "movie" else schemas.SHOWS)
     bad = F.col("_corrupt_record").isNotNull() | (text(F.col("title" if kind == "movie" else "name")) == "")
     return rows.where(~bad).drop("_corrupt_record"), rows.where(bad)
@@ -100,7 +100,7 @@ def dump(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dump_articles(pages: DataFrame) -> DataFrame:
-    """The filter over a dump: films and shows with infobox fields, categories, plot, address and hash (STR-21..28)."""
+    """The filter over a dump: films and shows with infobox fields, categories, plot, address and hash (STR-21..28, MAP-02: a missing field is '')."""
     rows = pages.withColumn("type", article_kind(F.col("markup"))).where("type is not null").withColumn("f", infobox_fields(F.col("markup")))
     f = lambda *n: F.coalesce(*(none_if_empty(F.try_element_at("f", F.lit(x))) for x in n), F.lit(""))
     films = F.col("type") == "film"

@@ -256,3 +256,30 @@ def test_catalog(spark):
     e = spark.createDataFrame([(1, 5.0, "2024-01-05"), (2, 0.1, "2024-01-05"), (3, 9.0, "2024-01-01")], "id int, popularity double, d string").withColumn("day", F.to_date("d"))
     kept, skipped = readers.export_ids(e, 1.0, "2024-01-06")
     assert [r["id"] for r in kept.collect()] == [1] and [r["id"] for r in skipped.collect()] == [2]
+
+
+def test_full_retry_and_fan_out(spark):
+    f = spark.createDataFrame([("u1", "c", 0), ("u2", "c", 0), ("u3", "c", 0)], "url string, crawl_id string, depth int")
+    p = spark.createDataFrame([("u1", 200, ["n", "u2", "n"]), ("u2", 500, ["m"]), ("u3", 304, ["z"])], "url string, status int, links array<string>")
+    stored, queued, errors = crawl.full_plan(f, p, f.select("crawl_id", "url"))
+    assert [r["url"] for r in stored.collect()] == ["u1"] and [r["url"] for r in queued.collect()] == ["n"] and [r["url"] for r in errors.collect()] == ["u2"]
+    a = spark.createDataFrame([("u", 0, 429), ("u", 1, 500), ("u", 2, 200), ("v", 0, 404), ("v", 3, 200)], "url string, attempt int, status int")
+    assert rows(crawl.retry_plan(a)) == [("u", 200, 3, 6), ("v", 404, 1, 1)]
+    got = crawl.fan_out(spark.range(40).select(F.col("id").cast("string").alias("url")), 4, 2.0).collect()
+    assert {r["worker"] for r in got} == {0, 1, 2, 3} and len({(r["worker"], r["start_us"]) for r in got}) == 40
+
+
+def test_page_records(spark):
+    html = '<title> P </title><meta property="og:image" content="a&amp;b"><meta name="description" content="d">'
+    ld = '<script type="application/ld+json">{"@type": "Movie", "name": "N", "image": "i"}</script>'
+    df = spark.createDataFrame([(1, html), (2, html + ld), (3, "")], "page int, html string")
+    got = {r["page"]: (r["title"], r["description"], r["banner_url"], r["thumbnail_url"], r["content_type"]) for r in P.page_records(df, ["page"]).collect()}
+    assert got == {1: ("P", "d", "a&b", "a&b", ""), 2: ("N", "d", "a&b", "i", "movie")}
+
+
+def test_wire_json(spark):
+    df = spark.createDataFrame([(1, "u", 0, ["a"])], "page_id bigint, final_url string, depth int, links array<string>")
+    out = df.select(sinks.wire_json(df).alias("j"))
+    assert json.loads(out.first()["j"]) == {"pageId": "1", "finalUrl": "u", "links": ["a"]}
+    back = out.select(*sinks.from_wire_json(F.col("j"), df))
+    assert rows(back) == [(1, "u", None, ["a"])]
