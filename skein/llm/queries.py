@@ -85,6 +85,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+        e AS (SELECT *, length(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '|>', '|\>')) AS n, length(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), '|>', '|\>')) AS m,
+                     coalesce(role <> lag(role) OVER w, true) AS opens FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(n + CASE WHEN opens THEN 2 + m + 3 + 8 ELSE 7 END)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
     "op10_exact_dedup": r"""
         WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,

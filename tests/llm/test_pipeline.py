@@ -18,7 +18,8 @@ def test_query_names():
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
 def test_sql(spark, sf, name):
     c = duckdb.connect()
-    c.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    for t in ("documents", "conversations"):
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = QUERIES[name](spark, sf)
     want = c.sql(ORACLE_SQL[name])
     order = [want.columns.index(x) for x in df.columns]
