@@ -103,14 +103,9 @@ def resume(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return items.join(done.where(F.col(key) > 0).select(key).distinct(), key, "left_anti")
 
 
-def first_wins(df: DataFrame, key: Column, value: str, order: str) -> DataFrame:
-    """AGG-12."""
-    return df.groupBy(key.alias("key")).agg(F.min_by(value, order).alias(value))
-
-
-def last_wins(df: DataFrame, key: Column, value: str, order: str) -> DataFrame:
-    """AGG-13."""
-    return df.groupBy(key.alias("key")).agg(F.max_by(value, order).alias(value))
+def wins(df: DataFrame, key: Column, value: str, order: str) -> DataFrame:
+    """AGG-12, AGG-13: per key the first and the last value by order, and the number of rows, in one pass."""
+    return df.groupBy(key.alias("key")).agg(F.min_by(value, order).alias("first"), F.max_by(value, order).alias("last"), F.count("*").alias("n"))
 
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:

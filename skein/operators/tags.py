@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dims import INDIAN
@@ -82,8 +82,9 @@ def tagged(titles: DataFrame, kind: str) -> DataFrame:
 
 def tier_report(rows: DataFrame, tier: str = "tier") -> DataFrame:
     """AGG-03: (tier, n, pct) with whole percents."""
-    total = rows.agg(F.count("*").alias("total"))
-    return rows.groupBy(tier).agg(F.count("*").alias("n")).crossJoin(F.broadcast(total)).select(tier, "n", percent(F.col("n"), F.col("total")).alias("pct"))
+    counts = rows.groupBy(tier).agg(F.count("*").alias("n"))
+    whole = F.sum("n").over(Window.partitionBy())  # over a row per tier
+    return counts.select(tier, "n", percent(F.col("n"), whole).alias("pct"))
 
 
 def enrichment_report(rows: DataFrame, **conditions: Column) -> DataFrame:

@@ -59,10 +59,7 @@ def norm_key_wins(spark, d):
     """STR-02, AGG-12, AGG-13."""
     parts = table(spark, d, "part")
     key = T.norm_key(F.col("p_name"), F.col("p_size").cast("string"))
-    both = matching.first_wins(parts.withColumn("first_part", F.col("p_partkey")), key, "first_part", "p_partkey")
-    last = matching.last_wins(parts.withColumn("last_part", F.col("p_partkey")), key, "last_part", "p_partkey")
-    n = parts.groupBy(key.alias("key")).agg(F.count("*").alias("n"))
-    return both.join(last, "key").join(n, "key")
+    return matching.wins(parts, key, "p_partkey", "p_partkey").withColumnsRenamed({"first": "first_part", "last": "last_part"})
 
 
 @query("SELECT o_orderkey, regexp_extract(strftime(o_orderdate, '%Y-%m-%d'), '^(\\d{4})', 1) AS year, substr(strftime(o_orderdate, '%Y-%m-%d'), 1, 4) AS chars FROM orders")
