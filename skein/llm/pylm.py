@@ -38,14 +38,14 @@ _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 def tokens(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(word hashes, contexts) of a text: its words and the end. A context is the previous word's last two bytes as
-    last + 256 * last but one; 0 before the first word."""
+    256 * last + last but one, so that contexts of one parent adjoin; 0 before the first word."""
     words = text.translate(_LOWER).split()
     n = len(words)
     h = xxhash.xxh64_intdigest
     ids = np.fromiter((h(w, 0) for w in words), np.uint64, n)
     joined = np.frombuffer(b"\0" + b"\0".join(words), np.uint8).astype(np.int64) if n else np.zeros(1, np.int64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1) - 1  # of each word's last byte
-    context = np.concatenate([[0], joined[ends] + 256 * joined[ends - 1]]) if n else np.zeros(1, np.int64)
+    context = np.concatenate([[0], 256 * joined[ends] + joined[ends - 1]]) if n else np.zeros(1, np.int64)
     return np.append(ids, np.uint64(END)), context
 
 
@@ -97,10 +97,10 @@ class Words:
 
     def __init__(self, word: np.ndarray, context: np.ndarray, n: np.ndarray, words: int):
         self.words, self.word, self.context, self.n = words, word, context, n
-        key = word * 256 + (context & 255)
+        key = word * 256 + (context >> 8)
         self.first = np.flatnonzero(np.diff(key, prepend=-1))  # pairs of a word and a parent
         self.parent_of = np.cumsum(np.diff(key, prepend=-1) != 0) - 1
-        self.p_word, self.parent = word[self.first], context[self.first] & 255
+        self.p_word, self.parent = word[self.first], context[self.first] >> 8
         self.t2 = np.minimum(n, 1)
         self.c1 = np.add.reduceat(self.t2, self.first) if len(n) else n
         self.t1 = np.minimum(self.c1, 1)
@@ -115,10 +115,10 @@ class Words:
         if word is None:
             p_word, parent, c1, t1 = self.p_word, self.parent, self.c1, self.t1
         else:
-            own, key = self.p_word * 256 + self.parent, word * 256 + (context & 255)
+            own, key = self.p_word * 256 + self.parent, word * 256 + (context >> 8)
             at = np.minimum(np.searchsorted(own, key), max(0, len(own) - 1))
             hit = (own[at] == key) if len(own) else np.zeros(len(key), bool)
-            p_word, parent = word, context & 255
+            p_word, parent = word, context >> 8
             c1, t1 = (np.where(hit, x[at], 0) if len(own) else np.zeros(len(key)) for x in (self.c1, self.t1))
         mid = (np.maximum(c1 - d[1] * t1, 0) + (s[1] + d[1] * totals.tables[1][parent]) * uni[p_word]) / (s[1] + totals.customers[1][parent])
         if word is None:
