@@ -222,10 +222,17 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 1) -> Crf
 
 
 def learning_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, rule, limit: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most `limit` labelled rows of rule: those of the smallest id hashes, with their whole texts."""
-    rows = docs.where(rule & F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_BYTES))
-    rows = rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("text"), F.col(label_col).alias("lang"))
-    return [(r["text"], r["lang"]) for r in rows.orderBy("h", "lang", "text").limit(limit).collect()]
+    """At most `limit` labelled rows of rule: those of the smallest id hashes, with their whole texts.
+
+    Rows are counted without their texts first, so that only texts below a hash threshold, about 5/4 of the limit, leave
+    the executors, however large the table is. Of a table whose rows mostly repeat one id, any of these may come.
+    """
+    kept = docs.where(rule & F.col(label_col).isNotNull())
+    share = 1.25 * limit / max(1, kept.count())
+    rows = kept.withColumn("h", F.pmod(F.xxhash64(id_col), F.lit(1 << 40))).where(F.col("h") < int(min(1.0, share) * (1 << 40)))
+    rows = rows.where(F.col(text_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_BYTES)).limit(2 * limit)
+    rows = rows.select("h", F.col(text_col).alias("text"), F.col(label_col).alias("lang")).collect()
+    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["h"], r["lang"], r["text"]))[:limit]]
 
 
 def identify(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
