@@ -30,6 +30,8 @@ SWEEPS, ROUNDS, SAMPLES = 3, 2, 3
 EXACT = 48
 #: Tokens a task gathers before it passes them on.
 TOKENS = 1_000_000
+#: Parts that words are dealt to at least; a part is a row that one task holds in memory.
+LEAST_PARTS = 96
 #: The end of a text as a token: no word is a single space.
 END = xxhash.xxh64_intdigest(b" ", 0)
 LEVELS = 3
@@ -280,7 +282,7 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     none = -(1 << 63)
     rows = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(none)).alias("id"), F.col(text_col).alias("text"), held_out.cast("int").alias("out"))
-    parts = max(1, partitions(spark))
+    parts = max(LEAST_PARTS, 2 * partitions(spark))
     dealt = rows.mapInArrow(lambda b: _dealt(b, parts), "part int, raw bigint, body binary")
     table = written(dealt.groupBy("part").applyInPandas(_merged, "part int, vocabulary bigint, tokens bigint, model binary, model_raw bigint, said binary, said_raw bigint"), "tokens")
     count = table.agg(F.sum("vocabulary").alias("v"), F.sum("tokens").alias("n")).first()
@@ -292,7 +294,8 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, model, raw, said, said_raw in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for row in range(len(batch)):
+                part, model, raw, said, said_raw = (batch.column(i)[row].as_py() for i in range(5))
                 w = _words(model, raw)
                 data = pa.decompress(said, decompressed_size=said_raw, codec="zstd", asbytes=True)
                 m, k = (int(x) for x in np.frombuffer(data, np.int64, 2))
@@ -316,7 +319,9 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
                     [pa.array(ids), *(pa.array(s.astype(np.int64)) for s in sums[:2]), *(pa.array(s) for s in sums[2:])], ["id", "n_tokens", "n_known", "base", "score"]
                 )
 
-    scored = table.select("part", "model", "model_raw", "said", "said_raw").mapInArrow(run, "id bigint, n_tokens bigint, n_known bigint, base double, score double")
+    # A document has words in most parts: fewer tasks, with several parts each, add up more before the shuffle.
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    scored = table.select("part", "model", "model_raw", "said", "said_raw").coalesce(tasks).mapInArrow(run, "id bigint, n_tokens bigint, n_known bigint, base double, score double")
     added = scored.groupBy("id").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
     norm = float(np.log10(n + v + 1))
     known = F.when(F.col("id") != none, F.col("id"))
