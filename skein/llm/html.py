@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
     r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>"
@@ -42,6 +44,8 @@ FURNITURE = re.compile(
     r"|comment\w*|disqus\w*|respond|replies|reply|footer\w*|header|masthead|topbar|copyright|skip-?link\w*|toolbar|search\w*|form)(?=$|[\s_\d-])",
     re.I,
 )
+#: Bytes of all hosts' paths that may go to every task; replicas of each path if there are more.
+BROADCAST_BYTES, SALTS = 8 << 20, 32
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
 #: Tags that an opening tag closes, as HTML leaves end tags out.
@@ -177,6 +181,18 @@ def host_paths(pages: DataFrame) -> DataFrame:
     return summed.groupBy("host").agg(first.alias("first")).select("host", F.col("first.path").alias("container"))
 
 
+def _with_container(rows: DataFrame) -> DataFrame:
+    """rows with their host's container. The paths are measured: up to BROADCAST_BYTES of them are sent to all tasks, and no page is moved;
+    more are joined by host and salt, each path once per salt, so that no host's pages meet in one task."""
+    paths = written(host_paths(rows), "hostpaths")
+    size = paths.agg(F.sum(F.octet_length("host") + F.octet_length("container") + 64)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(paths), "host", "left")
+    salted = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64("url", "html"), F.lit(SALTS)).cast("int"))
+    return spread.join(salted, ["host", "salt"], "left")
+
+
 def main_text(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """One row per row of pages: (page_id, url, text, n_chars, host, container).
 
@@ -186,8 +202,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), "url", "html", host.alias("host"))
-    # Pages of one large host are many rows of the left side: AQE splits those.
-    joined = rows.join(host_paths(rows), "host", "left").select("id", "url", "html", "host", "container")
+    joined = _with_container(rows).select("id", "url", "html", "host", "container")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

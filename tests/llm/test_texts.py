@@ -182,6 +182,13 @@ def test_html(spark):
     assert html.main_text(df.limit(0)).count() == 0
 
 
+def test_many_hosts(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"http://h{i % 3}/{i}", PAGE) for i in range(12)], "page_id int, url string, html string")
+    few = sorted(map(tuple, html.main_text(df).collect()))
+    monkeypatch.setattr(html, "BROADCAST_BYTES", 0)
+    assert sorted(map(tuple, html.main_text(df).collect())) == few
+
+
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -251,7 +258,7 @@ def test_probabilities_sum_to_one():
         for context in (0, 257, 513):
             p = w.probabilities(totals, size, np.arange(20), np.full(20, context))[2]
             unknown = 1.0
-            for level, k in ((2, context), (1, context & 255), (0, 0)):
+            for level, k in ((2, context), (1, context >> 8), (0, 0)):
                 d, s = pylm.DISCOUNT[level], pylm.STRENGTH[level]
                 unknown *= (s + d * totals.tables[level][k]) / (s + totals.customers[level][k])
             assert math.isclose(p.sum() + unknown / size, 1, rel_tol=1e-9)
@@ -286,4 +293,4 @@ def test_scores(spark, sf):
 def test_context_classes():
     ids, context = pylm.tokens(b"ab C\n\xc3\xa9")
     assert len(ids) == 4 and ids[-1] == pylm.END
-    assert context.tolist() == [0, ord("b") + 256 * ord("a"), ord("c"), 0xA9 + 256 * 0xC3]
+    assert context.tolist() == [0, 256 * ord("b") + ord("a"), 256 * ord("c"), 256 * 0xA9 + 0xC3]
