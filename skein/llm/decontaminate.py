@@ -6,6 +6,10 @@ depends on the benchmark only, and the singular vectors follow from the sum (sin
 every document and the benchmark items are compared by cosine there; candidates are confirmed by the longest common
 subsequence of words, paraphrases in addition by the item's answer, its last sentence, standing in one piece.
 
+Weights fall with the copies of an item, and a cosine is an estimate; so stretches that hold enough of an item's rarest
+words are candidates too, whatever their weights. That filter is exact: a stretch of up to STRETCH times an item's length
+that the common subsequence would confirm always passes it.
+
 The benchmark is the bounded side: it is taken in blocks of at most BLOCK items, each of which goes to all tasks.
 """
 
@@ -33,6 +37,9 @@ SCALES = (16, 32, 64, 128)
 #: Least cosine of a candidate; share of the item's words in a common subsequence that confirms it, or does so together
 #: with the answer.
 COSINE, SAME, PARAPHRASE = 0.6, 0.8, 0.6
+#: Longest stretch, by an item's length, in which its words are sought without weights; items of fewer than FEW words may
+#: miss none, and are sought in one piece if they have no direction.
+STRETCH, FEW = 1.5, 5
 #: Words searched at once.
 WORDS = 300_000
 _TABLE = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
@@ -99,8 +106,8 @@ def _numbered(docs: DataFrame, number: dict[bytes, int], id_col: str, text_col:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, words binary, df array<struct<w:int,n:bigint>>")
 
 
-def latent_space(numbered: DataFrame, size: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-    """(idf, vectors): weights of the words, and each word's place in the latent space (number, RANK).
+def latent_space(numbered: DataFrame, size: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(df, idf, vectors): passages and weights of the words, and each word's place in the latent space (number, RANK).
 
     What reaches the driver has the size of the benchmark's vocabulary, whatever the corpus.
     """
@@ -156,7 +163,7 @@ def latent_space(numbered: DataFrame, size: int, seed: int = 1) -> tuple[np.ndar
     core = omega.T @ (z + shift * omega)
     chol = np.linalg.cholesky((core + core.T) / 2 + 1e-9 * np.trace(core) / sketch * np.eye(sketch))
     u, _, _ = np.linalg.svd(np.linalg.solve(chol, (z + shift * omega).T).T, full_matrices=False)
-    return idf, (idf[:, None] * u[:, : min(RANK, sketch)]).astype(np.float32)
+    return df, idf, (idf[:, None] * u[:, : min(RANK, sketch)]).astype(np.float32)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -166,14 +173,17 @@ def _unit(x: np.ndarray) -> np.ndarray:
 class Index:
     """Latent vectors of the items (long ones in parts) by window length.
 
-    Items of fewer than two words with a weight have no direction of their own and are sought as whole sequences.
+    Items of fewer than two words with a weight have no direction of their own; the short ones of them are sought as
+    whole sequences. All others are sought by their rarest words too.
     """
 
-    def __init__(self, items: list[Item], idf: np.ndarray, vectors: np.ndarray):
+    def __init__(self, items: list[Item], df: np.ndarray, idf: np.ndarray, vectors: np.ndarray):
         self.items, self.vectors, self.weighs = items, vectors, idf > 0
-        self.plain = [k for k, x in enumerate(items) if len({w for w in x.words if self.weighs[w]}) < 2]
+        without = [k for k, x in enumerate(items) if len({w for w in x.words if self.weighs[w]}) < 2]
+        self.plain = [k for k in without if len(items[k].words) < FEW]
+        self._rarest(df)
         by: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
-        for k in set(range(len(items))) - set(self.plain):
+        for k in set(range(len(items))) - set(without):
             words, longest = items[k].words, SCALES[-1]
             n = len(words)
             scale = next((s for s in SCALES if s >= 0.75 * n), longest)
@@ -181,6 +191,43 @@ class Index:
                 by[scale].append((k, vectors[words[i : i + longest] if n > 1.33 * longest else words].sum(axis=0)))
         self.by = {s: (np.array([k for k, _ in x]), _unit(np.array([v for _, v in x])).T.astype(np.float32)) for s, x in sorted(by.items())}
 
+    def _rarest(self, df: np.ndarray) -> None:
+        """Postings of each item's rarest words. Of n words, t in common leave n - t out; so of any n - t + m words of
+        the item at least m are in common, and a stretch with fewer places of those words holds no copy."""
+        n = np.array([len(x.words) for x in self.items])
+        self.least, self.stretch = np.maximum(1, n // 8), np.floor(STRETCH * n).astype(np.int64)
+        pairs = set()
+        for k, x in enumerate(self.items):
+            if n[k] >= FEW:
+                rare = sorted(x.words, key=lambda w: (df[w], w))[: n[k] - int(np.ceil(PARAPHRASE * n[k] - 1e-9)) + self.least[k]]
+                pairs |= {(w, k) for w in rare}
+        words, items = np.array(sorted(pairs), np.int64).reshape(-1, 2).T
+        self.posted, self.first = items, np.searchsorted(words, np.arange(len(df) + 1))
+
+    def shared(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int, int]]:
+        """(text, item, start, end) of stretches with enough of an item's rarest words; every stretch of up to STRETCH
+        times its length that holds the item lies within one of them."""
+        ids = np.concatenate(texts)
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        offset = np.cumsum(size) - size
+        count = np.diff(self.first)[ids]
+        at = np.repeat(np.arange(len(ids)), count)
+        if not len(at):
+            return
+        item = self.posted[np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(self.first[ids], count)]
+        order = np.argsort(item, kind="stable")
+        at, item = at[order], item[order]
+        text = np.searchsorted(offset, at, "right") - 1
+        # The first place of a stretch, and the last of the least number that it has to hold.
+        last = np.arange(len(at)) + self.least[item] - 1
+        i = np.flatnonzero(last < len(at))
+        i = i[(item[last[i]] == item[i]) & (text[last[i]] == text[i]) & (at[last[i]] - at[i] < self.stretch[item[i]])]
+        same = (i > 0) & (item[i - 1] == item[i]) & (text[i - 1] == text[i])
+        start = np.maximum(np.where(same, at[i - 1] + 1, offset[text[i]]), at[last[i]] - self.stretch[item[i]] + 1)
+        start = np.maximum(start, offset[text[i]]) - offset[text[i]]
+        end = at[i] - offset[text[i]] + self.stretch[item[i]]
+        yield from zip(text[i].tolist(), item[i].tolist(), start.tolist(), end.tolist(), strict=True)
+
     def candidates(self, texts: list[np.ndarray], cosine: float = COSINE) -> Iterator[tuple[int, int, int, int]]:
         """(text, item, start, end) of windows that come close to an item; windows half overlap."""
         ids = np.concatenate(texts)
@@ -207,18 +254,23 @@ class Index:
     def hits(self, texts: list[np.ndarray]) -> list[tuple[int, int, float, bool, int]]:
         """(text, item, share in common, answered, start) of the items that the texts hold."""
         found: dict[tuple[int, int], tuple[float, bool, int]] = {}
-        for t, k, start, end in self.candidates(texts):
-            if found.get((t, k), (0,))[0] >= SAME:
-                continue
-            item, n = self.items[k], len(self.items[k].words)
-            margin = max(n - (end - start), 0) + n // 2 + 8
-            lo = max(0, start - margin)
-            region = texts[t][lo : end + margin].tolist()
-            share = item.common(region) / n
+
+        def confirm(t: int, k: int, lo: int, hi: int) -> None:
+            item, region = self.items[k], texts[t][lo:hi].tolist()
+            share = item.common(region) / len(item.words)
             if share >= PARAPHRASE and share > found.get((t, k), (0,))[0]:
                 answered = item.answered(region)
                 if share >= SAME or answered:
                     found[t, k] = (share, answered, lo)
+
+        for t, k, start, end in self.candidates(texts):
+            if found.get((t, k), (0,))[0] < SAME:
+                n = len(self.items[k].words)
+                margin = max(n - (end - start), 0) + n // 2 + 8
+                confirm(t, k, max(0, start - margin), end + margin)
+        for t, k, start, end in self.shared(texts):
+            if (t, k) not in found:
+                confirm(t, k, start, end)
         for k in self.plain:
             sought = np.array(self.items[k].words, np.int32).tobytes()
             for t, ids in enumerate(texts):

@@ -148,6 +148,25 @@ def test_decontamination(spark, sf):
     assert decontaminate.contaminated(docs, empty).count() == decontaminate.contaminated(docs.limit(0), bench).count() == decontaminate.contaminated(docs, empty.limit(0)).count() == 0
 
 
+def test_leak_in_a_third_of_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    item = bench.orderBy("item_id").first()
+    rng = random.Random(4)
+    rows, want = [], set()
+    for k, r in enumerate(docs):
+        text = r["text"]
+        if k % 3 == 0:
+            w = item["text"].split()
+            w[rng.randrange(len(w))] = f"changed{k}"
+            text = f"{text} {' '.join(w)} and the rest"
+            want.add(r["doc_id"])
+        rows.append((r["doc_id"], text))
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).where(F.col("item_id") == item["item_id"]).collect()
+    whole = b" ".join(decontaminate.words_of(item["text"]))
+    assert {r["doc_id"] for r in got} == want | {i for i, t in rows if whole in b" ".join(decontaminate.words_of(t or ""))}
+
+
 def test_common_subsequence():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
