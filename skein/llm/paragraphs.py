@@ -6,6 +6,11 @@ recall: at a similarity of 0.8, 9 bands of 3 rows miss (1 - 0.8**3)**9 of the pa
 band's key meet in a bucket; equal buckets of several bands are compared once. In a bucket a pair is verified by the
 exact Jaccard similarity of the shingle sets unless it is connected already, so no link between components is lost and
 no square of pairs is made for a group of near copies. Buckets of over TILE nodes are compared tile against tile.
+
+Runs of MIN_WORDS words that stand word by word in another document are found wherever they lie, over several lines or
+inside a longer one. Winnowing marks a document: of the hashes of K words in a row, those that are the least of some W
+neighbours; two documents that share a run of K + W - 1 = MIN_WORDS words share a mark in it. Around shared marks all
+runs are hashed and meet by equality, so the result is exact.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import remove, written
 from .graph import components
 
 MIN_WORDS, SHINGLE, SIMILARITY = 50, 5, 0.8
@@ -146,13 +151,130 @@ def near_links(table: DataFrame) -> DataFrame:
     return rows.groupBy("key", "t1", "t2").applyInPandas(_compare, "a binary, b binary")
 
 
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (a * _BASE + b) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        return x * np.uint64(0x94D049BB133111EB) ^ (x >> np.uint64(29))
+
+
+def _rows_of(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of n words in a row, one for each place, from those of 1, 2, 4 ... words."""
+    out, have, size, piece = None, 0, 1, words
+    while True:
+        if n & size:
+            out = piece if out is None else _mixed(out[: len(words) - have - size + 1], piece[have:])
+            have += size
+        if have == n:
+            return out
+        piece, size = _mixed(piece[:-size], piece[size:]), 2 * size
+
+
+def _sliding(x: np.ndarray, n: int, least) -> np.ndarray:
+    """least(x[i : i + n]) at each place."""
+    size = 1
+    while 2 * size <= n:
+        x, size = least(x[:-size], x[size:]), 2 * size
+    return least(x[: len(x) - (n - size)], x[n - size :]) if n > size else x
+
+
+def marks(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the marks of at least min_words word hashes."""
+    k = (min_words + 1) // 2
+    w = min_words - k + 1
+    h = _rows_of(words, k)
+    low = _sliding(h, w, np.minimum)
+    # The least of some window: equal to the largest of the minima of the windows around it.
+    edge = np.zeros(w - 1, np.uint64)
+    places = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), w, np.maximum) == h)
+    return places, h[places]
+
+
+def _word_hashes(data: bytes, min_words: int) -> np.ndarray | None:
+    words = data.lower().split() if len(data) >= 2 * min_words - 1 else ()
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) if len(words) >= min_words else None
+
+
+def _marked(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, found = [], []
+        for i, text in enumerate(batch.column(2)):
+            if text.is_valid and (words := _word_hashes(text.as_py().encode(), min_words)) is not None:
+                at.append(i)
+                found.append(np.unique(marks(words, min_words)[1]).view(np.int64))
+        rows = pa.array(at, pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(found, pa.list_(pa.int64()))], ["id", "version", "marks"])
+
+
+def _runs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """The runs around a document's shared marks: hash, place in words, characters from and to, line."""
+    for batch in batches:
+        at, cols = [], [[] for _ in range(5)]
+        for i, (text, shared) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            data = text.as_py().encode()
+            words = _word_hashes(data, min_words)
+            places, h = marks(words, min_words)
+            places = places[np.isin(h, shared.values.to_numpy().view(np.uint64))]
+            n = len(words) - min_words + 1
+            near = np.zeros(n + 1, np.int64)
+            np.add.at(near, np.maximum(places - (min_words - (min_words + 1) // 2), 0), 1)
+            np.add.at(near, np.minimum(places + 1, n), -1)
+            run = np.flatnonzero(np.cumsum(near[:n]) > 0)
+            raw = np.frombuffer(data, np.uint8)
+            inside = ~np.isin(raw, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+            char = np.cumsum((raw & 0xC0) != 0x80) - 1
+            first = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+            last = np.flatnonzero(inside & ~np.concatenate([inside[1:], [False]]))
+            line = np.cumsum(raw == 10)
+            at.append(np.full(len(run), i))
+            for c, v in zip(cols, (_rows_of(words, min_words)[run].view(np.int64), run, char[first[run]], char[last[run + min_words - 1]] + 1, line[first[run]]), strict=True):
+                c.append(v)
+        rows = pa.array(np.concatenate(at) if at else [], pa.int64())
+        kinds = pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()
+        flat = [pa.array(np.concatenate(c) if c else [], pa.int64()).cast(k) for c, k in zip(cols, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *flat], ["id", "version", "run", "at", "begin", "end", "line"])
+
+
+def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, line, begin, end, first_id, first_line, members, documents, removed): the longest stretches whose runs of
+    min_words words (lower-cased) all stand in another document, and whose first copies, by id and place, adjoin too."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
+    marked = written(texts.mapInArrow(lambda b: _marked(b, min_words), f"id {kind}, version bigint, marks array<bigint>"), "marks")
+    each = marked.select("id", "version", F.explode("marks").alias("mark"))
+    several = F.min(F.struct("id")) != F.max(F.struct("id"))
+    shared = each.join(each.groupBy("mark").agg(several.alias("several")).where("several").select("mark"), "mark", "left_semi")
+    sought = shared.groupBy(F.col("id").alias("sid"), F.col("version").alias("sversion")).agg(F.collect_set("mark").alias("marks"))
+    both = texts.join(sought, texts["id"].eqNullSafe(F.col("sid")) & (texts["version"] == F.col("sversion"))).dropDuplicates(["id", "version"])
+    schema = f"id {kind}, version bigint, run bigint, at int, begin int, end int, line int"
+    runs = written(both.select("id", "version", "text", "marks").mapInArrow(lambda b: _runs(b, min_words), schema), "runs")
+    remove(docs.sparkSession, marked)
+    # A document's places of a run are counted before its documents are.
+    of_doc = runs.groupBy("run", "id").agg(F.count("*").alias("n"), F.min(F.struct("at", "version", "line")).alias("x"))
+    summed = of_doc.groupBy("run").agg(F.sum("n").alias("members"), F.count("*").alias("documents"), F.min(F.struct("id", "x")).alias("first")).where("documents > 1")
+    found = runs.join(summed, "run")
+    of_text = Window.partitionBy("id", "version").orderBy("at")
+    shift = F.col("at") - F.col("first.x.at")
+    found = found.select("id", "version", "at", "begin", "end", "line", "members", "documents", "first", shift.alias("shift"))
+    before = F.lag(F.struct("at", "shift", "first.id", "first.x.version")).over(of_text)
+    follows = before.eqNullSafe(F.struct((F.col("at") - 1).alias("at"), "shift", "first.id", "first.x.version"))
+    found = found.withColumn("no", F.sum(F.when(follows, 0).otherwise(1)).over(of_text))
+    own = F.struct("id", F.struct("at", "version", "line").alias("x"))
+    return found.groupBy("id", "version", "no").agg(
+        F.min("line").alias("line"), F.min("begin").cast("bigint").alias("begin"), F.max("end").cast("bigint").alias("end"), F.min_by("first", "at").alias("first"),
+        F.max("members").alias("members"), F.max("documents").alias("documents"), F.min_by(~own.eqNullSafe(F.col("first")), "at").alias("removed"),
+    ).select("id", "line", "begin", "end", F.col("first.id").alias("first_id"), F.col("first.x.line").alias("first_line"), "members", "documents", "removed")
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row for each paragraph that repeats, nearly or exactly, in another document: (doc_id, paragraph, start,
-    n_chars, component_id, component_paragraph, members, documents, removed).
+    """One row for each paragraph that repeats, nearly or exactly, in another document, and one for each stretch of
+    repeated_runs() that isn't inside such a paragraph: (doc_id, paragraph, start, n_chars, component_id,
+    component_paragraph, members, documents, removed).
 
     start and n_chars give its place in the text in characters, paragraph its number among all lines. The component is
-    named after its first paragraph by (doc_id, paragraph), which is the one that stays. Null and empty texts and lines
-    of fewer words have no paragraphs; repeated rows of one id count as one document; a null id is a document of its
+    named after its first paragraph by (doc_id, paragraph), which is the one that stays. A stretch has the number of the
+    line in which it begins, and the place of its first copy as component. Null and empty texts have no paragraphs, and
+    lines of fewer words are part of stretches only; repeated rows of one id count as one document; a null id is a document of its
     own, first in order. Other columns are ignored; an empty table gives no rows. Whole texts are read.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -167,17 +289,50 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.count("*").alias("members"), F.count_distinct(F.struct("id")).alias("documents"), F.min(F.struct("id", "no")).alias("first")
     )
     out = named.join(sizes.where("documents > 1"), "c")
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), F.col("no").alias("paragraph"), "start", F.col("chars").alias("n_chars"), F.col("first.id").alias("component_id"),
         F.col("first.no").alias("component_paragraph"), "members", "documents", (~F.struct("id", "no").eqNullSafe(F.col("first"))).alias("removed"),
     )
+    whole = written(out, "repeated")
+    line = whole.select(F.col(id_col).alias("wid"), "paragraph", "start", (F.col("start") + F.col("n_chars")).alias("stop")).distinct()
+    runs = repeated_runs(docs, id_col, text_col, min_words)
+    within = runs["id"].eqNullSafe(line["wid"]) & (runs["line"] == line["paragraph"]) & (runs["begin"] >= line["start"]) & (runs["end"] <= line["stop"])
+    runs = runs.join(line, within, "left_anti")
+    return whole.unionByName(
+        runs.select(
+            F.col("id").alias(id_col), F.col("line").alias("paragraph"), F.col("begin").alias("start"), (F.col("end") - F.col("begin")).alias("n_chars"),
+            F.col("first_id").alias("component_id"), F.col("first_line").alias("component_paragraph"), "members", "documents", "removed",
+        )
+    )
+
+
+def _without(batches: Iterator[pa.RecordBatch], at: int, gone: int) -> Iterator[pa.RecordBatch]:
+    """Texts without the ranges (start, n_chars); a line of which nothing is left goes with its end."""
+    for batch in batches:
+        out = []
+        for text, ranges in zip(batch.column(at).to_pylist(), batch.column(gone).to_pylist(), strict=True):
+            if text is not None and ranges:
+                keep, start, lines = np.ones(len(text), bool), 0, []
+                for r in ranges:
+                    keep[r["start"] : r["start"] + r["n_chars"]] = False
+                for line in text.split("\n"):
+                    left = keep[start : start + len(line)]
+                    if left.all():
+                        lines.append(line)
+                    elif left.any():
+                        lines.append("".join(c for c, k in zip(line, left, strict=True) if k))
+                    start += len(line) + 1
+                text = "\n".join(lines)
+            out.append(text)
+        cols = [pa.array(out, pa.string()) if i == at else c for i, c in enumerate(batch.columns) if i != gone]
+        yield pa.RecordBatch.from_arrays(cols, [n for i, n in enumerate(batch.schema.names) if i != gone])
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with the repeated paragraphs taken out of the texts; all rows and columns stay, as do rows with null ids."""
+    """docs with the repeated paragraphs and stretches taken out of the texts; all rows and columns stay, as do rows
+    with null ids."""
     gone = repeated_paragraphs(docs, id_col, text_col, min_words).where("removed")
-    gone = gone.groupBy(F.col(id_col).alias("__id")).agg(F.array_sort(F.collect_set("paragraph")).alias("__gone"))
-    both = docs.join(gone, docs[id_col] == F.col("__id"), "left")
-    lines = F.filter(F.transform(F.split(text_col, "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("__gone"), s["i"]))
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(lines, lambda s: s["x"]), "\n"))
-    return both.withColumn(text_col, text).select(docs.columns)
+    gone = gone.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set(F.struct("start", "n_chars")).alias("__gone"))
+    both = docs.join(gone, docs[id_col] == F.col("__id"), "left").select(*docs.columns, "__gone")
+    at, last = docs.columns.index(text_col), len(docs.columns)
+    return both.mapInArrow(lambda b: _without(b, at, last), docs.schema)

@@ -153,6 +153,32 @@ def test_repeated_paragraphs(spark):
     assert repeated_paragraphs(docs(spark, [])).count() == 0
 
 
+def test_repeats_over_lines_and_inside_longer_ones(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    some = lambda n: [word() for _ in range(n)]
+    p, q, r = some(60), some(50), some(49)
+    rows = [(1, " ".join(some(150) + p + some(150))), (2, " ".join(some(90)) + "\n" + "\n".join(" ".join(p[i : i + 15]) for i in range(0, 60, 15)) + "\nö end")]
+    rows += [(3, "é " + " ".join(q).upper()[:-1] + q[-1][-1] + " " + " ".join(some(200))), (4, " ".join(some(200)) + " " + "\t".join(q)), (None, " ".join(p[:55]) + "\nx")]
+    rows += [(5, " ".join(some(60) + r)), (6, " ".join(r + some(60))), (7, " ".join(q[:25] + some(1) + q[25:] + some(100)))]
+    rows += [(10 + i, "\n".join(" ".join(rng.choice("ab") for _ in range(9)) for _ in range(40))) for i in range(12)]
+    got = repeated_paragraphs(docs(spark, rows)).collect()
+    runs = {}
+    for i, t in rows:
+        w = t.lower().split()
+        for k in range(len(w) - 49):
+            runs.setdefault(tuple(w[k : k + 50]), []).append((i, k))
+    want = {i for places in runs.values() if len({i for i, _ in places}) > 1 for i, _ in places}
+    assert {x["doc_id"] for x in got} == want and {1, 2, 3, 4, None} == {i for i in want if i is None or i < 10}
+    texts = dict(rows)
+    said = lambda x: texts[x["doc_id"]][x["start"] : x["start"] + x["n_chars"]].lower().split()
+    by = {(x["doc_id"], len(said(x))): x for x in got}
+    assert said(by[2, 60 - 5]) == said(by[None, 55]) == p[:55] and said(by[3, 50]) == said(by[4, 50]) == q
+    assert [by[k]["removed"] for k in ((None, 55), (2, 55), (3, 50), (4, 50))] == [False, True, False, True]
+    kept = {x["doc_id"]: x["text"] for x in without_repeats(docs(spark, rows)).collect()}
+    assert kept[None] == texts[None] and kept[3] == texts[3] and kept[2] == rows[1][1].split("\n")[0] + "\nö end" and kept[4].strip() == " ".join(texts[4].split()[:200])
+
+
 def test_links_in_matches_all_pairs():
     rng = np.random.default_rng(8)
     sets = [np.unique(rng.integers(0, 60, 50).astype(np.uint32)) for _ in range(30)]
