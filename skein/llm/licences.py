@@ -1,10 +1,10 @@
 """Licence scan with DataFrame functions only: base phrases, and a positional index of licence templates.
 
 Templates are short public licence notices as word sequences. Their words are weighted by IDF over the templates and
-indexed as postings (word, template, position). A file's licence words of highest IDF are looked up, function words
-aside; postings that agree on the relative position (place in file - place in template) make an alignment, which needs
-at least one of those rare words; the best alignment of a template counts if enough of its weight is there and its
-mandatory key phrases stand in the file.
+indexed as postings (word, template, position). Postings that agree on the relative position (place in file - place in
+template) make an alignment, which needs at least one of its template's rarest words: so many of the highest IDF, function
+words last, that no alignment without them has enough weight, whatever else stands in the file. The best alignment of a
+template counts if enough of its weight is there and its mandatory key phrases stand in the file.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed by the contract: phrase and label.
@@ -50,24 +50,30 @@ TEMPLATES = [
     ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", ["in no event will the authors be held liable"]),
 ]
 
-#: Function words among the templates' words: they support an alignment but aren't looked up.
+#: Function words among the templates' words: they support an alignment but aren't among the rarest if others suffice.
 COMMON = set("a all and any are as be by for free in is no of or that the this to under use will with without".split())
 
-#: A file's licence words looked up, an alignment's least share of its template's weight.
-RAREST, LEAST = 12, 0.75
+#: An alignment's least share of its template's weight.
+LEAST = 0.75
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def postings() -> list[tuple[str, int, str, int, float, float]]:
-    """(word, template, label, position, share of the template's weight, IDF): bounded by TEMPLATES."""
+def postings() -> list[tuple[str, int, str, int, float, bool]]:
+    """(word, template, label, position, share of the template's weight, whether it is one of the rarest): bounded by
+    TEMPLATES."""
     texts = [t.split() for _, t, _ in TEMPLATES]
     df = {w: sum(w in t for t in texts) for t in texts for w in t}
     idf = {w: math.log((1 + len(texts)) / n) for w, n in df.items()}
-    return [
-        (w, i, TEMPLATES[i][0], k, idf[w] / sum(idf[x] for x in words), idf[w])
-        for i, words in enumerate(texts)
-        for k, w in enumerate(words)
-    ]
+    out = []
+    for i, words in enumerate(texts):
+        share = [idf[w] / sum(idf[x] for x in words) for w in words]
+        rarest, held = set(), 0.0
+        for w in sorted(set(words), key=lambda w: (w in COMMON, -idf[w], w)):
+            if held <= 1 - LEAST + 1e-6:  # what is left could still reach LEAST
+                rarest.add(w)
+                held += sum(x for x, v in zip(share, words, strict=True) if v == w)
+        out += [(w, i, TEMPLATES[i][0], k, share[k], w in rarest) for k, w in enumerate(words)]
+    return out
 
 
 def anchors() -> list[str]:
@@ -109,19 +115,14 @@ def base_columns(words: Column) -> dict[str, Column]:
 def template_matches(docs: DataFrame) -> DataFrame:
     """(id, label, template, at, score): each file's best verified alignment of each template it holds."""
     spark = docs.sparkSession
-    index = F.broadcast(spark.createDataFrame(postings(), "word string, template int, label string, pos int, share double, idf double"))
+    index = F.broadcast(spark.createDataFrame(postings(), "word string, template int, label string, pos int, share double, rare boolean"))
     candidates = docs.where(F.col("words").rlike(f" (?:{'|'.join(map(re.escape, anchors()))}) "))
     places = candidates.select("id", F.posexplode(F.split(F.substring("words", 2, 2_000_000_000), " ")).alias("at", "word"))
     hits = places.join(index, "word")
-    # The rarest licence words of a file are chosen from its distinct words, so a word repeated often counts once.
-    distinct = hits.where(~F.col("word").isin(*sorted(COMMON))).select("id", "word", "idf").distinct()
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("idf"), "word"))
-    rare = distinct.withColumn("r", rank).where(F.col("r") <= RAREST).select(F.col("id").alias("rid"), F.col("word").alias("rword"))
-    hits = hits.join(rare, on=hits.id.eqNullSafe(rare.rid) & (hits.word == rare.rword), how="left")
     lines = (
         hits.groupBy("id", "template", "label", (F.col("at") - F.col("pos")).alias("at"))
-        .agg(F.round(F.sum("share"), 9).alias("score"), F.count("rword").alias("rare"))
-        .where("rare > 0")
+        .agg(F.round(F.sum("share"), 9).alias("score"), F.max("rare").alias("rare"))
+        .where("rare")
         .groupBy("id", "template", "label")
         .agg(F.max(F.struct("score", (-F.col("at")).alias("at"))).alias("best"))
     )

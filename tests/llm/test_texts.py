@@ -44,6 +44,15 @@ def test_licences(spark):
     assert licences.scan_licences(frame(spark, [])).count() == 0
 
 
+def test_licence_in_a_file_of_many_licence_words(spark):
+    every = " ".join(sorted({w for _, t, _ in licences.TEMPLATES for w in t.split()} - {"gnu", "lesser", "general"}))
+    named = {label: text for label, text, _ in licences.TEMPLATES}
+    rows = [(i, f"{every} x {named[label]} y {every}") for i, label in enumerate(sorted(named))]
+    got = {r["doc_id"]: r for r in licences.scan_licences(frame(spark, rows)).collect()}
+    for i, label in enumerate(sorted(named)):
+        assert label in got[i]["labels"].split(",") and got[i]["score"] == 1, label
+
+
 def test_native_plans(spark, sf):
     from skein.llm.queries import op1_license_scan, op2_chat_format
 
