@@ -2,8 +2,9 @@
 
 Each page is cut into blocks; a block belongs to the path of its containers, written as tag.class steps with digits
 generalised. Page furniture (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, scripts) is
-left out. A page scores its containers by the text their blocks hold, less links; scores are summed per host and path
-in Spark, and the best path of a host re-extracts all its pages. A page without that path uses its own best one.
+left out, unless what is named like it wraps the page's text. A page votes for its lowest container that holds COVER of
+its text, less links; votes are summed per host and path in Spark. A page is extracted by the path of most votes among
+those that hold COVER of it too, else by its own; what stands beside that path in its article belongs to it.
 """
 
 from __future__ import annotations
@@ -44,6 +45,11 @@ FURNITURE = re.compile(
     r"|comment\w*|disqus\w*|respond|replies|reply|footer\w*|header|masthead|topbar|copyright|skip-?link\w*|toolbar|search\w*|form)(?=$|[\s_\d-])",
     re.I,
 )
+#: Wrappers of reader comments hold no article, however long.
+COMMENTS = re.compile(r"comment|disqus|respond|repl(?:y|ies)", re.I)
+#: Least share of a page's text that a container holds; that a wrapper named like furniture holds to be kept, by itself or
+#: with the page's first heading or main element.
+COVER, WRAPS, WRAPS_HEAD = 0.9, 0.9, 0.5
 #: Bytes of all hosts' paths that may go to every task; replicas of each path if there are more.
 BROADCAST_BYTES, SALTS = 8 << 20, 32
 _SPACE = re.compile(r"\s+")
@@ -54,14 +60,27 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 
 def blocks(html: str) -> list[tuple[str, str, int]]:
     """(container path, text, characters in links) of each block of content, in page order."""
+    kept: set[int] = set()
+    while True:
+        out, more = _blocks(html, kept)
+        if not more:
+            return out
+        kept |= more
+
+
+def _blocks(html: str, spared: set[int]) -> tuple[list[tuple[str, str, int]], set[int]]:
+    """The blocks, and the places of elements dropped for their names alone that hold most of the page; those at the
+    places spared aren't dropped."""
     out: list[tuple[str, str, int]] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, step, whether its content is dropped
+    stack: list[tuple[str, str, bool, int]] = []  # tag, step, whether its content is dropped, place if for a name alone
+    named: dict[int, list] = {}  # characters, whether a heading or main element is there, whether comments
+    shown = 0
     text: list[str] = []
     links = 0
     in_link = 0
 
     def path() -> str:
-        return "/".join(step for tag, step, _ in stack if tag in BLOCK and tag not in LEAF)
+        return "/".join(step for tag, step, *_ in stack if tag in BLOCK and tag not in LEAF)
 
     def flush() -> None:
         nonlocal links
@@ -84,6 +103,9 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
         if piece and not (stack and stack[-1][2]):
             text.append(piece)
             links += len(piece) * (in_link > 0)
+            shown += len(piece.strip())
+        elif piece and stack[-1][3] >= 0:
+            named[stack[-1][3]][0] += len(piece.strip())
         if not m:
             break
         at = m.end()
@@ -115,77 +137,116 @@ def blocks(html: str) -> list[tuple[str, str, int]]:
             while keep and (stack[keep - 1][0] not in BLOCK or stack[keep - 1][0] == "p" or stack[keep - 1][0] in shut):
                 keep -= 1
             pop(keep)
-        dropped = bool(stack and stack[-1][2]) or tag in DROPPED
+        around, by_name = bool(stack and stack[-1][2]), False
+        dropped = around or tag in DROPPED
         step = tag
         if "=" in m["attrs"] or "hidden" in m["attrs"]:
             attrs = {a.lower(): x or y or z or "" for a, x, y, z in _ATTR.findall(m["attrs"])}
             names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
             if tag not in ("html", "body", "article", "main"):
-                dropped = dropped or bool(FURNITURE.search(names)) or attrs.get("role", "").lower() in ROLES
+                dropped = dropped or attrs.get("role", "").lower() in ROLES
                 dropped = dropped or "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
+                by_name = not dropped and m.start() not in spared and bool(FURNITURE.search(names))
+                if by_name:
+                    named[m.start()] = [0, False, bool(COMMENTS.search(names))]
             first = attrs.get("class", "").split()[:1] or attrs.get("id", "").split()[:1]
             step = f"{tag}.{_DIGITS.sub('#', first[0].lower())}" if first else tag
         if not m["attrs"].endswith("/") or tag in BLOCK:
-            stack.append((tag, step, dropped))
+            # Inside of what is dropped for its name, only that counts; other reasons drop what they hold for good.
+            own = tag in DROPPED or (dropped and not around)
+            place = m.start() if by_name else stack[-1][3] if around and not own else -1
+            if place >= 0 and tag in ("h1", "main"):
+                named[place][1] = True
+            stack.append((tag, step, dropped or by_name, place))
             in_link += tag == "a"
     flush()
-    return out
+    total = shown + sum(n for n, _, comments in named.values() if not comments)
+    more = {k for k, (n, head, comments) in named.items() if n and not comments and n >= (WRAPS_HEAD if head else WRAPS) * total}
+    return out, more
 
 
 def container_scores(found: list[tuple[str, str, int]]) -> dict[str, float]:
-    """Text less links of each container, half for the one around it, as shares of the page's sum."""
-    score: dict[str, float] = defaultdict(float)
+    """Shares of the page's text less links that stand in each container or one inside it."""
+    own: dict[str, float] = defaultdict(float)
     for path, text, links in found:
-        good = (len(text) - links) * (1.0 + 0.1 * min(5, text.count(",") + text.count(".")))
-        score[path] += good
-        if "/" in path:
-            score[path.rpartition("/")[0]] += 0.5 * good
-    total = sum(score.values())
-    return {p: s / total for p, s in score.items()} if total else {}
+        own[path] += (len(text) - links) * (1.0 + 0.1 * min(5, text.count(",") + text.count(".")))
+    total = sum(own.values())
+    score: dict[str, float] = defaultdict(float)
+    for path, good in own.items():
+        score[""] += good / total if total and path else 0
+        steps = path.split("/")
+        for i in range(len(steps)):
+            score["/".join(steps[: i + 1])] += good / total if total else 0
+    return dict(score) if total else {}
 
 
 def best(scores: dict[str, float]) -> str | None:
-    return min(scores, key=lambda p: (-scores[p], p)) if scores else None
+    """The lowest container that holds COVER of the text."""
+    enough = [p for p, s in scores.items() if s >= COVER - 1e-9]
+    return max(enough, key=lambda p: (p.count("/") + bool(p), p)) if enough else None
 
 
 def within(path: str, container: str) -> bool:
-    return path == container or path.startswith(container + "/")
+    return not container or path == container or path.startswith(container + "/")
+
+
+def around(found: list[tuple[str, str, int]], container: str) -> str:
+    """The container widened to the article or main element around it; if there is none, to the elements below body
+    around it, as long as what stands beside it is text more than links."""
+    steps = container.split("/")
+    for i in range(len(steps) - 1, -1, -1):
+        if steps[i].split(".")[0] in ("article", "main"):
+            return "/".join(steps[: i + 1])
+    while len(steps) > 1 and steps[-2].split(".")[0] not in ("html", "body"):
+        wider = "/".join(steps[:-1])
+        beside = [(len(t), links) for p, t, links in found if within(p, wider) and not within(p, "/".join(steps))]
+        if 2 * sum(n for _, n in beside) > sum(n for n, _ in beside):
+            break
+        steps.pop()
+    return "/".join(steps)
+
+
+def chosen(found: list[tuple[str, str, int]], paths: list[str] | None) -> str | None:
+    """The first of the host's paths that holds COVER of the page's text, or else the page's own best one; widened."""
+    scores = container_scores(found)
+    path = next((p for p in paths or () if scores.get(p, 0) >= COVER - 1e-9), None)
+    path = best(scores) if path is None else path
+    return None if path is None else around(found, path)
 
 
 def extract(found: list[tuple[str, str, int]], container: str | None) -> str:
-    """The blocks within the container, or, if the page has none there, within the page's own best one."""
-    kept = [t for p, t, _ in found if container is not None and within(p, container)]
-    if not kept and (own := best(container_scores(found))) is not None:
-        kept = [t for p, t, _ in found if within(p, own)]
-    return "\n".join(kept)
+    """The blocks within the container."""
+    return "\n".join(t for p, t, _ in found if container is not None and within(p, container))
 
 
 def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        total: dict[tuple[str, str], float] = defaultdict(float)
+        total: dict[tuple[str, str], int] = defaultdict(int)
         for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            for path, score in container_scores(blocks(html.as_py() or "")).items():
-                total[host, path] += score
+            path = best(container_scores(blocks(html.as_py() or "")))
+            if path is not None:
+                total[host, path] += 1
         keys = list(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([round(total[k] * 1e6) for k in keys], pa.int64())],
-            ["host", "path", "score"],
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([total[k] for k in keys], pa.int64())],
+            ["host", "path", "votes"],
         )
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, container): each host's path of the largest summed score; ties go to the first path by name."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, score bigint")
-    summed = votes.groupBy("host", "path").agg(F.sum("score").alias("score"))
-    first = F.min(F.struct((-F.col("score")).alias("score"), "path"))
-    return summed.groupBy("host").agg(first.alias("first")).select("host", F.col("first.path").alias("container"))
+    """(host, paths): each host's containers by falling votes; ties go by name. Those of a single vote say nothing of
+    other pages, and their own page finds them by itself."""
+    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, votes bigint")
+    summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes")).where("votes > 1")
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("votes"), "path")))
+    return summed.groupBy("host").agg(F.transform(ordered, lambda x: x["path"]).alias("paths"))
 
 
 def _with_container(rows: DataFrame) -> DataFrame:
-    """rows with their host's container. The paths are measured: up to BROADCAST_BYTES of them are sent to all tasks, and no page is moved;
+    """rows with their host's containers. The paths are measured: up to BROADCAST_BYTES of them are sent to all tasks, and no page is moved;
     more are joined by host and salt, each path once per salt, so that no host's pages meet in one task."""
     paths = written(host_paths(rows), "hostpaths")
-    size = paths.agg(F.sum(F.octet_length("host") + F.octet_length("container") + 64)).first()[0] or 0
+    size = paths.agg(F.sum(F.octet_length("host") + F.octet_length(F.array_join("paths", "")) + 64 * F.size("paths"))).first()[0] or 0
     if size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(paths), "host", "left")
     salted = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -202,13 +263,17 @@ def main_text(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     rows = pages.select(F.col(id_col).alias("id"), "url", "html", host.alias("host"))
-    joined = _with_container(rows).select("id", "url", "html", "host", "container")
+    joined = _with_container(rows).select("id", "url", "html", "host", "paths")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(blocks(h.as_py() or ""), c.as_py()) for h, c in zip(batch.column(2), batch.column(4), strict=True)]
-            cols = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column(3), batch.column(4)]
+            texts, containers = [], []
+            for h, paths in zip(batch.column(2), batch.column(4), strict=True):
+                found = blocks(h.as_py() or "")
+                containers.append(chosen(found, paths.as_py()))
+                texts.append(extract(found, containers[-1]))
+            cols = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column(3), pa.array(containers, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, [id_col, "url", "text", "n_chars", "host", "container"])
 
     return joined.mapInArrow(run, f"`{id_col}` {kind}, url string, text string, n_chars bigint, host string, container string")

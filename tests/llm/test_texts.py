@@ -210,6 +210,22 @@ def test_html(spark):
     assert html.main_text(df.limit(0)).count() == 0
 
 
+def test_whole_articles(spark):
+    long = "Some words of an article, and some more of them. " * 8
+    page = lambda inside: f"<html><body><div class=menu><a href=/>menu</a></div>{inside}<div id=comments><p>{'talk, talk. ' * 90}</div></body></html>"
+    beside = page(f"<article><h1>Head</h1><p>Lead.</p><div class=body><p>{long}</p></div></article>")
+    plain = page(f"<div class=post><h1>Head</h1><div class=body><p>{long}</p></div></div>")
+    sections = page(f"<div class=text><div class=first><p>{long}{long}</p></div><div class=second><p>{long}</p></div></div>")
+    wrapper = page(f"<div class='page with sidebar'><h1>Head</h1><div class=sidebar><p>side</p></div><div class=body><p>{long}</p></div></div>")
+    other = page(f"<div class=intro><p>Small, small. block.</p></div><div class=story><p>{long}</p></div>")
+    rows = [(1, beside), (2, plain), (3, sections), (4, wrapper)]
+    df = [(i, f"http://h{i}.example/", h) for i, h in rows] + [(10 + k, "http://many.example/", page(f"<div class=intro><p>{long}</p></div>")) for k in range(5)] + [(20, "http://many.example/x", other)]
+    got = {r["page_id"]: r["text"] for r in html.main_text(spark.createDataFrame(df, "page_id int, url string, html string")).collect()}
+    text = long.strip()
+    assert got[1] == f"Head\nLead.\n{text}" and got[2] == got[4] == f"Head\n{text}"
+    assert got[3] == f"{(long + long).strip()}\n{text}" and got[20] == text and got[10] == text
+
+
 def test_many_hosts(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"http://h{i % 3}/{i}", PAGE) for i in range(12)], "page_id int, url string, html string")
     few = sorted(map(tuple, html.main_text(df).collect()))
