@@ -176,6 +176,26 @@ def test_leak_in_a_third_of_documents(spark, sf):
     assert {r["doc_id"] for r in got} == want | {i for i, t in rows if whole in b" ".join(decontaminate.words_of(t or ""))}
 
 
+def test_paraphrases_with_the_answer(spark, sf):
+    docs = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()]
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    items = bench.orderBy("item_id").collect()
+    others = sorted({x.decode() for r in items for x in decontaminate.words_of(r["text"])})
+    rng = random.Random(6)
+    rows, want = [], set()
+    for k in range(160):
+        item = items[k % len(items)]
+        w = [x.decode() for x in decontaminate.words_of(item["text"])]
+        tail = len(decontaminate.words_of([x for x in re.split(r"[.!?\n]+", item["text"]) if decontaminate.words_of(x)][-1]))
+        # every third word or so, none of the answer; 0.6 of the words and the answer stay
+        for i in rng.sample(range(len(w) - tail), min(len(w) - tail, int(0.38 * len(w)))):
+            w[i] = rng.choice(others)
+        rows.append((k, f"{docs[k % len(docs)]} {' '.join(w)} {docs[(k + 1) % len(docs)]}"))
+        want.add((k, item["item_id"]))
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(spark.createDataFrame(rows, "doc_id bigint, text string"), bench).collect()}
+    assert want <= got
+
+
 def test_common_subsequence():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
