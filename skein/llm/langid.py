@@ -222,17 +222,31 @@ def fit(rows: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 1) -> Crf
 
 
 def learning_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, rule, limit: int = SAMPLE) -> list[tuple[str, str]]:
-    """At most `limit` labelled rows of rule: those of the smallest id hashes, with their whole texts.
+    """At most `limit` labelled rows of rule, one of each label at least: those of the smallest id hashes of a label,
+    with their whole texts. A quarter of the limit is dealt out evenly by label, the rest in proportion.
 
-    Rows are counted without their texts first, so that only texts below a hash threshold, about 5/4 of the limit, leave
-    the executors, however large the table is. Of a table whose rows mostly repeat one id, any of these may come.
+    Rows are counted without their texts first, so that only texts below their label's hash threshold, about 5/4 of its
+    share, leave the executors, however large the table is. Of a table whose rows mostly repeat one id, any of these may
+    come.
     """
+    usable = F.col(text_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_BYTES)
     kept = docs.where(rule & F.col(label_col).isNotNull())
-    share = 1.25 * limit / max(1, kept.count())
-    rows = kept.withColumn("h", F.pmod(F.xxhash64(id_col), F.lit(1 << 40))).where(F.col("h") < int(min(1.0, share) * (1 << 40)))
-    rows = rows.where(F.col(text_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_BYTES)).limit(2 * limit)
-    rows = rows.select("h", F.col(text_col).alias("text"), F.col(label_col).alias("lang")).collect()
-    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["h"], r["lang"], r["text"]))[:limit]]
+    count = {r["lang"]: r["count"] for r in kept.groupBy(F.col(label_col).alias("lang")).count().collect()}
+    if not count:
+        return []
+    least, total = max(1, limit // (4 * len(count))), sum(count.values())
+    quota = {x: least + int(max(0, limit - least * len(count)) * n / total) for x, n in count.items()}
+    # Some rows more than the share, so that a small one isn't missed by chance.
+    below = [(x, int(min(1.0, (1.25 * quota[x] + 20) / n) * (1 << 40))) for x, n in count.items()]
+    thresholds = F.broadcast(docs.sparkSession.createDataFrame(below, "of_lang string, below bigint"))
+    rows = kept.select(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)).alias("h"), F.col(text_col).alias("text"), F.col(label_col).alias("lang"), usable.alias("usable"))
+    rows = rows.join(thresholds, rows["lang"] == F.col("of_lang")).where("h < below and usable").limit(2 * limit + 40 * len(count))
+    out, held = [], dict.fromkeys(count, 0)
+    for r in sorted(rows.select("h", "text", "lang").collect(), key=lambda r: (r["h"], r["lang"], r["text"])):
+        if held[r["lang"]] < quota[r["lang"]]:
+            held[r["lang"]] += 1
+            out.append((r["text"], r["lang"]))
+    return out
 
 
 def identify(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:

@@ -102,6 +102,13 @@ def test_languages(spark, labelled):
     assert {r["lang_pred"] for r in langid.identify(odd, none).collect()} == {"und"}
 
 
+def test_rare_label_is_learned(spark):
+    df = spark.range(6000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), F.when(F.col("id").isin(5, 77, 4000), "rare").when(F.col("id") % 3 == 0, "b").otherwise("a").alias("lang"))
+    got = [x for _, x in langid.learning_rows(df, "doc_id", "text", "lang", F.lit(True), 60)]
+    assert got.count("rare") == 3 and len(got) <= 60 and 30 <= got.count("a") and 15 <= got.count("b")
+    assert langid.learning_rows(df.limit(0), "doc_id", "text", "lang", F.lit(True)) == []
+
+
 def test_code_switching(labelled):
     rows = labelled.collect()
     model = langid.fit([(r["text"], r["lang"]) for r in rows])
