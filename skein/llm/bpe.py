@@ -5,22 +5,29 @@ of a piece has one valid last token: the one that is an encoding by itself (it s
 pair with the last token of the prefix before it. PieceEncoder keeps that token per prefix: appending bytes adds
 entries and never changes one; an edit drops the entries behind it. Texts are cut into pieces by the tokenizer's
 pattern; a piece that is a token as a whole is that token.
+
+Texts are taken slab by slab. The stretches of a slab that aren't remembered from those before are encoded once, in
+order of their bytes, so that each is an edit of the one before it and only the prefixes that differ are computed.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-#: Pieces whose encoding a worker remembers.
-MEMORY = 200_000
+#: Stretches that a worker remembers in each of two generations, the older of which goes when the younger is full;
+#: neighbours whose validity it remembers.
+MEMORY, PAIRS = 400_000, 2_000_000
+#: Characters encoded at once, give or take a text; a longer text is cut at spaces that stand alone.
+SLAB = 4_000_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -81,7 +88,7 @@ class Vocabulary:
 
     def valid(self, left: int, right: int) -> bool:
         """Whether two tokens (ranks) side by side are the encoding of their bytes."""
-        if len(self.known) > 4 * MEMORY:
+        if len(self.known) > PAIRS:
             self.known.clear()
         x, y, get = self.edges(self.tokens[left]), self.edges(self.tokens[right]), self.ranks.get
         found = x is not None and y is not None
@@ -96,144 +103,224 @@ class Vocabulary:
 
 
 class PieceEncoder:
-    """The last tokens of all prefixes of one piece."""
+    """The last tokens of all prefixes of one piece, and where each begins."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", []
+        self.vocabulary, self.data, self.last, self.begins = vocabulary, b"", [], []
         self.append(data)
 
     def append(self, more: bytes) -> None:
         """Lengthen the piece: entries of earlier prefixes stay as they are."""
-        v, start = self.vocabulary, len(self.data)
-        data = self.data = self.data + more
-        ends, last, known, span = v.ends, self.last, v.known, v.span
+        start = len(self.data)
+        self.data += more
+        self._extend(start)
+
+    def _extend(self, start: int) -> None:
+        v, data, last, begins = self.vocabulary, self.data, self.last, self.begins
+        ends, known, span = v.ends, v.known, v.span
         for end in range(start + 1, len(data) + 1):
-            for begin in range(end - 1, -1, -1):
+            begin = end - 1
+            while True:
                 rank = ends.get(data[begin:end])
                 if rank is None:  # no longer token can end here
                     raise ValueError(f"byte {data[end - 1]} isn't in the vocabulary")
-                if rank < 0:
-                    continue
-                if begin:
-                    before = last[begin - 1]
-                    ok = known.get(before * span + rank)
-                    if ok is None:
-                        ok = v.valid(before, rank)
-                else:
-                    ok = v.alone(data[:end])
-                if ok:
-                    last.append(rank)
-                    break
+                if rank >= 0:
+                    if begin:
+                        before = last[begin - 1]
+                        ok = known.get(before * span + rank)
+                        if ok is None:
+                            ok = v.valid(before, rank)
+                    else:
+                        ok = v.alone(data[:end])
+                    if ok:
+                        last.append(rank)
+                        begins.append(begin)
+                        break
+                begin -= 1
 
     def edit(self, start: int, end: int, new: bytes) -> None:
         """Replace data[start:end]: only prefixes behind start are encoded again."""
         tail = self.data[end:]
-        self.data, self.last = self.data[:start], self.last[:start]
-        self.append(new + tail)
+        self.data = self.data[:start] + new + tail
+        del self.last[start:], self.begins[start:]
+        self._extend(start)
+
+    def become(self, data: bytes) -> None:
+        """Go on to another piece: the prefixes that both have stay."""
+        same = 0
+        for a, b in zip(self.data, data):  # noqa: B905
+            if a != b:
+                break
+            same += 1
+        self.data = data
+        del self.last[same:], self.begins[same:]
+        self._extend(same)
 
     def ids(self) -> list[int]:
-        out, end, tokens = [], len(self.data), self.vocabulary.tokens
+        out, end, last, begins = [], len(self.data), self.last, self.begins
         while end:
-            out.append(self.last[end - 1])
-            end -= len(tokens[out[-1]])
-        return out[::-1]
-
-
-class _Odd(Exception):
-    """A stretch between two spaces that is empty or has white space at an end."""
+            out.append(last[end - 1])
+            end = begins[end - 1]
+        out.reverse()
+        return out
 
 
-class _Units(dict):
-    """What follows a single space up to the next one -> its ids as text and what they decode to. Such a stretch is cut into pieces by itself:
-    no piece of the pattern has a space inside but at its start or in a run of white space."""
+def as_text(ids: list[int]) -> str:
+    return ",".join(map(str, ids))
 
-    def __init__(self, codec: "Codec"):
-        super().__init__()
-        self.codec = codec
 
-    def __missing__(self, part: str) -> tuple[str, bytes]:
-        if not part or part[0].isspace() or part[-1].isspace():
-            raise _Odd
-        unit = " " + part
-        ids = self.codec.piece(unit) if part.isalpha() else [i for p in self.codec.split(unit) for i in self.codec.piece(p)]
-        found = ",".join(map(str, ids)), self.codec.decode(ids)
-        if len(self) < MEMORY and len(part) <= 64:  # frequent ones come early
-            self[part] = found
-        return found
+def as_bytes(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
 
 
 class Codec:
-    """Encode and decode texts; remembers the encodings of up to MEMORY pieces."""
+    """Encode and decode texts. Ids of stretches are kept in the given form: as_text, or as_bytes (int32)."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.vocabulary = Vocabulary(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, form: Callable[[list[int]], str | bytes] = as_text):
+        self.vocabulary, self.form = Vocabulary(ranks), form
         self.split = regex.compile(pattern).findall
-        self._pieces: dict[str, list[int]] = {}
-        # Stretches between spaces stand alone under this pattern only.
-        self._units = _Units(self) if pattern.endswith(r"|\s+(?!\S)|\s+") and r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+" in pattern else None
-
-    def piece(self, piece: str) -> list[int]:
-        found = self._pieces.get(piece)
-        if found is None:
-            data, ranks = piece.encode(), self.vocabulary.ranks
+        # Stretches between single spaces stand alone under this pattern only: no piece of it has a space inside but at
+        # its start or in a run of white space.
+        self.by_spaces = pattern.endswith(r"|\s+(?!\S)|\s+") and r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+" in pattern
+        self._single = regex.compile(r"(?<=\S) (?=\S)").split
+        self._young: dict[str, tuple] = {}
+        self._old: dict[str, tuple] = {}
+
+    def _pieces(self, pieces: set[str]) -> dict[str, list[int]]:
+        """The ids of each piece, by one encoder that goes from each to the next in order of bytes."""
+        out, ranks, encoder = {}, self.vocabulary.ranks, PieceEncoder(self.vocabulary)
+        for data, piece in sorted((p.encode(), p) for p in pieces):
             whole = ranks.get(data)
-            found = [whole] if whole is not None else PieceEncoder(self.vocabulary, data).ids()
-            if len(self._pieces) < MEMORY and len(piece) <= 64:  # frequent pieces come early
-                self._pieces[piece] = found
-        return found
+            if whole is not None:
+                out[piece] = [whole]
+                continue
+            encoder.become(data)
+            out[piece] = encoder.ids()
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return [i for p in self.split(text) for i in self.piece(p)]
+        pieces = self.split(text)
+        known = self._pieces(set(pieces))
+        return [i for p in pieces for i in known[p]]
 
     def decode(self, ids: list[int]) -> bytes:
         tokens = self.vocabulary.tokens
         return b"".join([tokens[i] for i in ids])
 
-    def round_trip(self, text: str) -> tuple[str, bytes]:
-        """The ids, as decimals joined by commas, and the bytes they decode to."""
-        if self._units is not None and text:
-            first, *rest = text.split(" ")
-            if first and not first[-1].isspace():
-                try:
-                    head = self.encode(first)
-                    units = [(",".join(map(str, head)), self.decode(head)), *map(self._units.__getitem__, rest)]
-                    return ",".join([x[0] for x in units]), b"".join([x[1] for x in units])
-                except _Odd:
-                    pass
-        ids = self.encode(text)
-        return ",".join(map(str, ids)), self.decode(ids)
-
-
-def _codec(path: str, pattern: str, made: dict[tuple[str, str], Codec] = {}) -> Codec:  # noqa: B006
-    """One codec for each worker process."""
-    if (path, pattern) not in made:
-        made[path, pattern] = Codec(load_ranks(path), pattern)
-    return made[path, pattern]
-
-
-def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    def _learn(self, units: set[str], lead: str = " ") -> dict[str, tuple]:
+        """(ids in their form, what they decode to) of each unit with `lead` before it."""
+        cut = {u: [lead + u] if u.isalpha() else self.split(lead + u) for u in units}
+        known = self._pieces({p for pieces in cut.values() for p in pieces})
+        out = {}
+        for u, pieces in cut.items():
+            ids = known[pieces[0]] if len(pieces) == 1 else [i for p in pieces for i in known[p]]
+            out[u] = self.form(ids), self.decode(ids)
+        return out
+
+    def _remember(self, units: set[str]) -> set[str]:
+        """Make the units known; those that don't stand alone, as a space is beside another white space, come back."""
+        if len(self._young) > MEMORY:
+            self._young, self._old = {}, self._young
+        new, odd, old = set(), set(), self._old
+        for u in units - self._young.keys():
+            if u in old:
+                self._young[u] = old[u]
+            elif not u or u[0].isspace() or u[-1].isspace():
+                odd.add(u)
+            else:
+                new.add(u)
+        self._young.update(self._learn(new))
+        return odd
+
+    def slab(self, texts: list[str]) -> list[tuple]:
+        """(ids in their form, the bytes they decode to) of each text."""
+        if not self.by_spaces:
+            found = self._learn(set(texts), "")
+            return [found[t] for t in texts]
+        cut = [t.split(" ") for t in texts]
+        first = [c.pop(0) for c in cut]
+        odd = self._remember(set().union(*cut))
+        apart: dict[int, list[str]] = {}
+        for i, (head, units) in enumerate(zip(first, cut, strict=True)):
+            if head[-1:].isspace() or (odd and not odd.isdisjoint(units)):
+                first[i], *apart[i] = self._single(texts[i])
+        heads, rest = self._learn(set(first), ""), self._learn(set().union(*apart.values()))
+        comma, get, out = "," if self.form is as_text else b"", self._young.__getitem__, []
+        for i, head in enumerate(first):
+            units = [*map(rest.__getitem__, apart[i])] if i in apart else [*map(get, cut[i])]
+            if head:
+                units.insert(0, heads[head])
+            out.append((comma.join([u[0] for u in units]), b"".join([u[1] for u in units])))
+        return out
+
+    def parts(self, text: str) -> Iterator[str]:
+        """A text in parts of about SLAB characters that are encoded by themselves, each but the first from a space."""
+        at = 0
+        while self.by_spaces and len(text) - at > SLAB:
+            end = text.find(" ", at + SLAB)
+            while end >= 0 and (end + 1 >= len(text) or text[end - 1].isspace() or text[end + 1].isspace()):
+                end = text.find(" ", end + 1)
+            if end < 0:
+                break
+            yield text[at:end]
+            at = end
+        yield text[at:]
+
+    def slabs(self, texts: list[str]) -> Iterator[Iterator[tuple]]:
+        """What slab() gives for each text: one tuple for each of its parts, in order."""
+        at = 0
+        while at < len(texts):
+            if len(texts[at]) > SLAB:
+                yield (self.slab([p])[0] for p in self.parts(texts[at]))
+                at += 1
+                continue
+            end, size = at, 0
+            while end < len(texts) and size + len(texts[end]) <= SLAB:
+                size += len(texts[end])
+                end += 1
+            for x in self.slab(texts[at:end]):
+                yield iter((x,))
+            at = end
+
+
+def _codec(path: str, pattern: str, form: Callable, made: dict[tuple, Codec] = {}) -> Codec:  # noqa: B006
+    """One codec for each worker process and form."""
+    if (path, pattern, form.__name__) not in made:
+        made[path, pattern, form.__name__] = Codec(load_ranks(path), pattern, form)
+    return made[path, pattern, form.__name__]
+
+
+def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", verify: bool = False) -> DataFrame:
     """docs with the column ids, array<int>: the encoding of each whole text; a null or empty text has no ids.
 
-    All other columns stay, nulls and repeated rows too; a column that is already named ids is replaced. `path` has to
-    be readable on every executor.
+    All other columns stay, nulls and repeated rows too; a column that is already named ids is replaced; an empty table
+    gives no rows. `path` has to be readable on every executor. With verify the ids are decoded again, and a text that
+    they don't give back is an error.
     """
     rest = docs.drop("ids")
     at = rest.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern)
+        codec = _codec(path, pattern, as_bytes)
         for batch in batches:
-            ids = pa.array([codec.encode(t.as_py() or "") for t in batch.column(at)], pa.list_(pa.int32()))
+            texts, found = [t or "" for t in batch.column(at).to_pylist()], []
+            for text, parts in zip(texts, codec.slabs(texts), strict=True):
+                every = [*parts]
+                if verify and b"".join([x[1] for x in every]) != text.encode():
+                    raise ValueError("a text's ids don't decode to it")
+                found.append(np.frombuffer(b"".join([x[0] for x in every]), np.int32))
+            ends = np.cumsum([0, *map(len, found)])
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found) if found else [], pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, "ids"])
 
     return rest.mapInArrow(run, StructType([*rest.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, data): the bytes of each id sequence; null ids count as none."""
+    """(doc_id, data): the bytes of each id sequence; null ids count as none. Repeated rows stay."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern)
+        codec = _codec(path, pattern, as_bytes)
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.decode(x.as_py() or []) for x in batch.column(1)], pa.binary())], [id_col, "data"])
 
@@ -242,17 +329,26 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids"
 
 
 def digest_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text is encoded, its ids are decoded, and both are hashed."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text is encoded, its ids are decoded, and both are hashed.
+
+    A null text counts as empty: no tokens, and the hashes of nothing. Rows that repeat and null ids stay, a row each;
+    other columns are ignored; an empty table gives no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(path, pattern)
+        codec = _codec(path, pattern, as_text)
         for batch in batches:
             n, ids_sha, out_sha = [], [], []
-            for t in batch.column(1):
-                ids, data = codec.round_trip(t.as_py() or "")
-                n.append(ids.count(",") + 1 if ids else 0)
-                ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                out_sha.append(hashlib.sha256(data).hexdigest())
+            for parts in codec.slabs([t or "" for t in batch.column(1).to_pylist()]):
+                ids_hash, out_hash, size = hashlib.sha256(), hashlib.sha256(), 0
+                for ids, data in parts:
+                    if ids:
+                        ids_hash.update((f",{ids}" if size else ids).encode())
+                        size += ids.count(",") + 1
+                    out_hash.update(data)
+                n.append(size)
+                ids_sha.append(ids_hash.hexdigest())
+                out_sha.append(out_hash.hexdigest())
             cols = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(out_sha, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 

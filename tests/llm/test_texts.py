@@ -279,7 +279,21 @@ def test_tokens_as_the_library(codec, library):
         s = "".join(rng.choice(" aabcdetheing eéüß\n\t!?#'s漢字😀0123  ") for _ in range(rng.randint(0, 70)))
         want = library.encode_ordinary(s)
         assert codec.encode(s) == want
-        assert codec.round_trip(s) == (",".join(map(str, want)), s.encode())
+        assert codec.slab([s]) == [(",".join(map(str, want)), s.encode())]
+
+
+def test_slabs(codec, library, monkeypatch):
+    """Texts longer than a slab are cut, and what is remembered goes after a while."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(" ab the ing\né!  's0") for _ in range(rng.choice((0, 3, 40, 900)))) for _ in range(200)] + ["word " * 300, " " * 400, "x" * 500]
+    monkeypatch.setattr(bpe, "SLAB", 64)
+    monkeypatch.setattr(bpe, "MEMORY", 50)
+    for text, parts in zip(texts, codec.slabs(texts), strict=True):
+        every = [*parts]
+        want = library.encode_ordinary(text)
+        assert ",".join(x[0] for x in every if x[0]) == ",".join(map(str, want)) and b"".join(x[1] for x in every) == text.encode()
+    other = bpe.Codec(codec.vocabulary.ranks, r"\S+|\s+")
+    assert not other.by_spaces and other.slab(["ab  c"])[0][1] == b"ab  c"
 
 
 def test_append_and_edit(codec):
