@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,11 +13,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that all executors share, from spark.checkpoint.dir; on local masters Spark's warehouse if that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and spark.sparkContext.master.startswith("local["):
+        found = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='skein-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
     return found.rstrip("/")
 
 
@@ -38,6 +38,17 @@ def remove(spark: SparkSession, df: DataFrame) -> None:
         hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+#: Copies of the smaller side of a salted join.
+SALTS = 8
+
+
+def salted_join(large: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner") -> DataFrame:
+    """Equi-join in which the rows of one key of `large` are dealt to SALTS tasks, by spread; `small` has each key once."""
+    large = large.withColumn("salt of join", F.pmod(spread, F.lit(SALTS)).cast("int"))
+    small = small.withColumn("salt of join", F.explode(F.array(*(F.lit(i) for i in range(SALTS)))))
+    return large.join(small, [*on, "salt of join"], how).drop("salt of join")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

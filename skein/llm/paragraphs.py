@@ -1,16 +1,19 @@
-"""Substring deduplication by paragraph: MinHash banding, verified Jaccard, connected components.
+"""Substring deduplication by paragraph: MinHash banding, verified Jaccard, connected components; and repeated runs of words.
 
-A document's paragraphs are its lines; those of at least MIN_WORDS words count. Equal paragraphs (lower-cased words)
-share a fingerprint and are one node. Each node has MinHash values over its five-word shingles, cut into bands tuned for
-recall: at a similarity of 0.8, 9 bands of 3 rows miss (1 - 0.8**3)**9 of the pairs, 0.16 %. Nodes that share a
-band's key meet in a bucket; equal buckets of several bands are compared once. In a bucket a pair is verified by the
-exact Jaccard similarity of the shingle sets unless it is connected already, so no link between components is lost and
-no square of pairs is made for a group of near copies. Buckets of over TILE nodes are compared tile against tile.
+A document's lines of at least MIN_WORDS words are paragraphs. Equal ones (lower-cased words) share a fingerprint and are
+one node. Each node has MinHash values over its five-word shingles, cut into bands tuned for recall: at a similarity of
+0.8, 9 bands of 3 rows miss (1 - 0.8**3)**9 of the pairs, 0.16 %. Nodes that share a band's key meet in a bucket; equal
+buckets of several bands are compared once. In a bucket a pair is verified by the exact Jaccard similarity of the shingle
+sets unless it is connected already, so no link between components is lost and no square of pairs is made for a group of
+near copies. Buckets of over TILE nodes are compared tile against tile.
 
 Runs of MIN_WORDS words that stand word by word in another document are found wherever they lie, over several lines or
-inside a longer one. Winnowing marks a document: of the hashes of K words in a row, those that are the least of some W
-neighbours; two documents that share a run of K + W - 1 = MIN_WORDS words share a mark in it. Around shared marks all
-runs are hashed and meet by equality, so the result is exact.
+inside a longer one. Each run has a mark: of the hashes of GRAM words in a row that lie in it, the least. Runs that
+follow each other mostly have the same mark, so a text is cut into pieces: runs of one mark in a row. Equal runs have the
+same mark at the same place, so only pieces whose mark stands in another text matter. Of these, pieces that are equal as
+a whole are settled at once, as inside of a repeated passage; a mark with pieces that differ, as at a passage's ends, has
+its runs compared one by one, one copy of each piece. The result is that of comparing all runs. Texts that are equal as
+a whole enter once.
 """
 
 from __future__ import annotations
@@ -18,43 +21,83 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import remove, written
+from .common import remove, salted_join, written
 from .graph import components
 
 MIN_WORDS, SHINGLE, SIMILARITY = 50, 5, 0.8
 BANDS, ROWS = 9, 3
 TILE = 2_048
+#: Words of a mark.
+GRAM = 25
+#: Words hashed at once, give or take a text; run starts looked at once, which fit into PLACE bits.
+SLAB, CHUNK, PLACE = 1 << 20, 1 << 23, 24
+#: Bytes of a line split at once, give or take a word.
+BYTES = 1 << 24
 _MIX = np.random.default_rng(20).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) | np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-
-
-def shingle_set(words: np.ndarray) -> np.ndarray:
-    """Distinct 64-bit hashes of runs of SHINGLE word hashes; of the whole sequence if it is shorter."""
+_BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
+
+
+def _words(line: bytes) -> Iterator[list[bytes]]:
+    """A line's lower-cased words, in parts."""
+    at = 0
+    while len(line) - at > BYTES:
+        end = at + BYTES
+        while end < len(line) and not _BLANK[line[end]]:
+            end += 1
+        yield line[at:end].lower().split()
+        at = end
+    yield (line[at:] if at else line).lower().split()
+
+
+def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """Hashes of a text's words; words and characters of each line."""
+    parts, held, counts, chars = [], [], [], []
+    digest = lambda: np.fromiter(map(xxhash.xxh3_64_intdigest, held), np.uint64, len(held))
+    for line in text.split("\n"):
+        n = 0
+        for words in _words(line.encode()):
+            n += len(words)
+            held += words
+            if len(held) > SLAB:
+                parts.append(digest())
+                held.clear()
+        counts.append(n)
+        chars.append(len(line))
+    parts.append(digest())
+    return np.concatenate(parts) if len(parts) > 1 else parts[0], np.array(counts, np.int64), chars
+
+
+def _shingles(words: np.ndarray) -> np.ndarray:
+    """A hash for each run of SHINGLE word hashes."""
     n = len(words) - SHINGLE + 1
-    if n < 1:
-        words, n = np.pad(words, (0, SHINGLE - len(words))), 1
     with np.errstate(over="ignore"):
         h = np.zeros(n, np.uint64)
         for i in range(SHINGLE):
             h = (h ^ words[i : i + n]) * _BASE
             h ^= h >> np.uint64(29)
-    return np.unique(h)
+    return h
 
 
-def band_keys(shingles: np.ndarray) -> np.ndarray:
-    """A 64-bit key for each band; those of different bands differ."""
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    """Distinct 64-bit hashes of runs of SHINGLE word hashes; of the whole sequence if it is shorter."""
+    return np.unique(_shingles(np.pad(words, (0, max(0, SHINGLE - len(words))))))
+
+
+def band_keys(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(paragraph, band): 64-bit keys; those of different bands differ. Paragraphs begin at `first` among the shingles."""
     with np.errstate(over="ignore"):
-        mins = (((shingles[None, :] * _MIX[:, :1]) ^ _MIX[:, 1:]) * _BASE).min(axis=1).reshape(BANDS, ROWS)
-        keys = np.arange(BANDS, dtype=np.uint64)
-        for i in range(ROWS):
-            keys = (keys ^ mins[:, i]) * _BASE
-            keys ^= keys >> np.uint64(31)
+        keys = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(first), axis=0)
+        for i, (a, b) in enumerate(_MIX):
+            mins = np.minimum.reduceat(((shingles * a) ^ b) * _BASE, first)
+            band = i // ROWS
+            keys[:, band] = (keys[:, band] ^ mins) * _BASE
+            keys[:, band] ^= keys[:, band] >> np.uint64(31)
     return keys
 
 
@@ -63,31 +106,165 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
-def _paragraphs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    h = xxhash.xxh64_intdigest
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        x = (a * _BASE + b) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+        return x * np.uint64(0x94D049BB133111EB) ^ (x >> np.uint64(29))
+
+
+def _rows_of(words: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of n words in a row, one for each place, from those of 1, 2, 4 ... words."""
+    out, have, size, piece = None, 0, 1, words
+    while True:
+        if n & size:
+            out = piece if out is None else _mixed(out[: len(words) - have - size + 1], piece[have:])
+            have += size
+        if have == n:
+            return out
+        piece, size = _mixed(piece[:-size], piece[size:]), 2 * size
+
+
+def _sliding_min(x: np.ndarray, n: int) -> np.ndarray:
+    """The least of x[i : i + n] at each place."""
+    size = 1
+    while 2 * size <= n:
+        x, size = np.minimum(x[:-size], x[size:]), 2 * size
+    return np.minimum(x[: len(x) - (n - size)], x[n - size :]) if n > size else x
+
+
+def pieces(words: np.ndarray, sizes: np.ndarray, min_words: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first run, last run, mark, its place) of the pieces of texts of `sizes` words that follow each other in `words`."""
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(words))
+    low_bits = np.uint64((1 << PLACE) - 1)
+    for at in range(0, len(words), CHUNK):
+        part = words[at : at + CHUNK + min_words - 1]
+        if len(part) < min_words:
+            return
+        h = _rows_of(part, gram)
+        # A hash with its place: ties go to the first place, wherever the text stands.
+        low = _sliding_min((h & ~low_bits) | np.arange(len(h), dtype=np.uint64), min_words - gram + 1)
+        runs = np.flatnonzero(left[at : at + len(low)] >= min_words)
+        if not len(runs):
+            continue
+        place = (low[runs] & low_bits).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (runs[1:] != runs[:-1] + 1)]))
+        last = runs[np.append(first[1:], len(runs)) - 1]
+        yield runs[first] + at, last + at, h[place[first]], place[first] + at
+
+
+def _scan(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """(id, t, words, marks, lines) for each text of min_words words: its marks and its paragraphs."""
     for batch in batches:
-        at, cols, known = [], [[] for _ in range(6)], set()
-        for i, text in enumerate(batch.column(1)):
-            if not text.is_valid:
-                continue
-            start = 0
-            for no, line in enumerate(text.as_py().split("\n")):
-                words = line.encode().lower().split() if len(line) >= 2 * min_words - 1 else ()
+        rows, known, hold, held = [], set(), [], 0
+
+        def flush() -> None:
+            if not hold:
+                return
+            words = np.concatenate([h[1] for h in hold])
+            sizes = np.array([len(h[1]) for h in hold])
+            start = np.cumsum(sizes) - sizes
+            found = [(np.searchsorted(start, lo, "right") - 1, mark) for lo, _, mark, _ in pieces(words, sizes, min_words, gram)]
+            owner, mark = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.array([], np.int64), np.array([], np.uint64))
+            bounds = np.searchsorted(owner, np.arange(len(hold) + 1))
+            # Paragraphs: lines of enough words.
+            counts = np.concatenate([h[2] for h in hold])
+            line_start = np.cumsum(counts) - counts
+            long = np.flatnonzero(counts >= min_words)
+            size = counts[long] - SHINGLE + 1
+            if len(long):
+                at = np.repeat(line_start[long] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                keys = band_keys(_shingles(words)[at], np.cumsum(size) - size).view(np.int64)
+            of_line = np.cumsum([len(h[2]) for h in hold]) - np.array([len(h[2]) for h in hold])
+            of = np.searchsorted(of_line, long, "right") - 1
+            lines: list[list] = [[] for _ in hold]
+            chars = [np.cumsum([0, *(c + 1 for c in h[3])]) for h in hold]
+            for k, (i, line) in enumerate(zip(of.tolist(), long.tolist(), strict=True)):
+                no, a = line - int(of_line[i]), int(line_start[line])
+                fp = xxhash.xxh3_128_digest(words[a : a + int(counts[line])].tobytes())
+                # Of copies in a batch, one carries the keys.
+                own = None if fp in known else keys[k]
+                known.add(fp)
+                lines[i].append({"no": no, "start": int(chars[i][no]), "chars": hold[i][3][no], "fp": fp, "keys": own})
+            for i, h in enumerate(hold):
+                rows.append((h[0], len(h[1]), np.unique(mark[bounds[i] : bounds[i + 1]]).view(np.int64), lines[i]))
+            hold.clear()
+
+        for i, text in enumerate(batch.column(2)):
+            if text.is_valid and len(text.as_buffer()) >= 2 * min_words - 1:
+                words, counts, chars = word_hashes(text.as_py())
                 if len(words) >= min_words:
-                    fp, body, keys = xxhash.xxh3_128_digest(b" ".join(words)), None, None
-                    if fp not in known:  # of copies in a batch, one carries the shingles
-                        known.add(fp)
-                        sh = shingle_set(np.fromiter((h(w, 7) for w in words), np.uint64, len(words)))
-                        body, keys = np.unique(sh.astype(np.uint32)).tobytes(), band_keys(sh).view(np.int64)
+                    hold.append((i, words, counts, chars))
+                    held += len(words)
+                    if held >= SLAB:
+                        flush()
+                        held = 0
+        flush()
+        at = pa.array([r[0] for r in rows], pa.int64())
+        line = pa.struct([("no", pa.int32()), ("start", pa.int64()), ("chars", pa.int64()), ("fp", pa.binary()), ("keys", pa.list_(pa.int64()))])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.list_(pa.int64())), pa.array([r[3] for r in rows], pa.list_(line))],
+            ["id", "t", "words", "marks", "lines"],
+        )
+
+
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else [], pa.int64()).cast(kind))
+
+
+def _details(batches: Iterator[pa.RecordBatch], min_words: int, gram: int) -> Iterator[pa.RecordBatch]:
+    """For each text, once in a task: the pieces of the marks asked for, with their runs and places in characters; and
+    the shingles of the lines asked for."""
+    seen = set()
+    for batch in batches:
+        at, cols = [], [[] for _ in range(8)]
+        at2, fps, sets = [], [], []
+        for i, (t, text, marks, numbers) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2), batch.column(3), batch.column(4), strict=True)):
+            if t in seen:
+                continue
+            seen.add(t)
+            text = text.as_py()
+            words, counts, _ = word_hashes(text)
+            if numbers.is_valid:
+                start = np.cumsum(counts) - counts
+                for no in numbers.as_py():
+                    own = words[start[no] : start[no] + counts[no]]
+                    at2.append(i)
+                    fps.append(xxhash.xxh3_128_digest(own.tobytes()))
+                    sets.append(shingle_set(own).tobytes())
+            if not marks.is_valid:
+                continue
+            raw = np.frombuffer(text.encode(), np.uint8)
+            blank = _BLANK[raw]
+            char = np.cumsum((raw & 0xC0) != 0x80) - 1
+            begin = char[np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))]
+            end = char[np.flatnonzero(~blank & np.concatenate([blank[1:], [True]]))] + 1
+            line = np.repeat(np.arange(len(counts)), counts)
+            run = _rows_of(words, min_words)
+            sought = marks.values.to_numpy().view(np.uint64)
+            for lo, hi, mark, place in pieces(words, np.array([len(words)]), min_words, gram):
+                some = np.isin(mark, sought)
+                lo, hi, mark, place = lo[some], hi[some], mark[some], place[some]
+                key = _mixed(_mixed(run[lo], run[hi]), ((hi - lo) * 4096 + place - lo).astype(np.uint64))
+                for a, b, m, k in zip(lo.tolist(), hi.tolist(), mark.view(np.int64).tolist(), key.view(np.int64).tolist(), strict=True):
                     at.append(i)
-                    for c, v in zip(cols, (no, start, len(line), fp, body, keys), strict=True):
+                    for c, v in zip(cols, (m, k, a, run[a : b + 1].view(np.int64), begin[a : b + 1], end[a + min_words - 1 : b + min_words], line[a : b + 1]), strict=False):
                         c.append(v)
-                start += len(line) + 1
-        kinds = pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64())
+        m, k = len(at), len(at2)
+        rows = pa.array(at + at2, pa.int64())
+        none = lambda kind, n: pa.nulls(n, kind)
+        both = lambda a, b: pa.concat_arrays([a, b])
+        long, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
-            ["id", "no", "start", "chars", "fp", "shingles", "keys"],
-        )
+            [
+                batch.column(0).take(rows), batch.column(1).take(rows), batch.column(5).take(rows),
+                both(pa.array(cols[0], pa.int64()), none(pa.int64(), k)), both(pa.array(cols[1], pa.int64()), none(pa.int64(), k)), both(pa.array(cols[2], pa.int64()), none(pa.int64(), k)),
+                both(_lists(cols[3], pa.int64()), none(long, k)), *(both(_lists(c, pa.int32()), none(ints, k)) for c in cols[4:7]),
+                both(none(pa.binary(), m), pa.array(fps, pa.binary())), both(none(pa.binary(), m), pa.array(sets, pa.binary())),
+            ],
+            ["id", "t", "copies", "mark", "key", "run", "runs", "begins", "ends", "lines", "fp", "shingles"],
+        )
 
 
 def links_in(fps: list[bytes], sets: list[np.ndarray], other: list[bytes] = (), other_sets: list[np.ndarray] = (), least: float = SIMILARITY) -> list[tuple[bytes, bytes]]:
@@ -119,191 +296,169 @@ def links_in(fps: list[bytes], sets: list[np.ndarray], other: list[bytes] = (),
     return out
 
 
-def _compare(frame: pd.DataFrame) -> pd.DataFrame:
-    sets = [np.frombuffer(s, np.uint32) for s in frame["shingles"]]
-    fps, tile = list(frame["fp"]), frame["tile"].to_numpy()
-    a, b = frame["t1"].iloc[0], frame["t2"].iloc[0]
-    if a == b:
-        found = links_in(fps, sets)
-    else:
-        x, y = np.flatnonzero(tile == a), np.flatnonzero(tile == b)
-        found = links_in([fps[i] for i in x], [sets[i] for i in x], [fps[i] for i in y], [sets[i] for i in y])
-    return pd.DataFrame({"a": [x for x, _ in found], "b": [y for _, y in found]})
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of each bucket's pair of tiles (key, t1, t2); rows come sorted by these."""
 
+    def links(parts: list[pa.RecordBatch]) -> list[tuple[bytes, bytes]]:
+        rows = pa.Table.from_batches(parts)
+        fps, tile = rows.column("fp").to_pylist(), rows.column("tile").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("shingles")]
+        a, b = rows.column("t1")[0].as_py(), rows.column("t2")[0].as_py()
+        if a == b:
+            return links_in(fps, sets)
+        x, y = np.flatnonzero(tile == a), np.flatnonzero(tile == b)
+        return links_in([fps[i] for i in x], [sets[i] for i in x], [fps[i] for i in y], [sets[i] for i in y])
 
-def near_links(table: DataFrame) -> DataFrame:
-    """(a, b) between the fingerprints of rows (fp, shingles, keys); rows without keys repeat others."""
-    nodes = table.where(F.col("keys").isNotNull())
-    of_key = Window.partitionBy("key")
-    keyed = nodes.select("fp", F.explode("keys").alias("key")).withColumns({"low": F.min("fp").over(of_key), "high": F.max("fp").over(of_key)})
-    shared = written(keyed.where(F.col("low") != F.col("high")).select("key", "fp").distinct(), "buckets")
+    held, of = [], None
+    for batch in batches:
+        out = []
+        keys = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if len(batch) else []
+        for a, b in zip(first, [*first[1:], len(batch)], strict=True):
+            if held and tuple(keys[:, a]) != of:
+                out += links(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            of = tuple(keys[:, a])
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
+    if held:
+        out = links(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.binary()), pa.array([y for _, y in out], pa.binary())], ["a", "b"])
+
+
+def band_members(lines: DataFrame) -> DataFrame:
+    """(key, t1, t2, tile, fp): the nodes of every bucket of two and more, by pair of tiles; lines has fp and keys."""
+    nodes = lines.where(F.col("keys").isNotNull()).groupBy("fp").agg(F.first("keys").alias("keys"))
+    keyed = nodes.select("fp", F.explode("keys").alias("key"))
     mix = [F.bit_xor(F.xxhash64("fp", F.lit(i))).alias(f"mix{i}") for i in range(2)]
-    buckets = shared.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("least"), *mix)
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("least"), *mix).where("n > 1")
     # The same members under several bands are compared once.
     chosen = buckets.groupBy("n", "least", "mix0", "mix1").agg(F.min("key").alias("key"))
     chosen = chosen.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    members = shared.join(chosen, "key").withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    members = keyed.join(chosen, "key").withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
     # A tile meets itself and every other one: (smaller, larger).
     members = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    members = members.withColumns({"t1": F.least("tile", "with"), "t2": F.greatest("tile", "with")})
-    sought = nodes.select("fp", "shingles").join(shared.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
-    rows = members.join(sought, "fp").select("key", "t1", "t2", "tile", "fp", "shingles")
-    return rows.groupBy("key", "t1", "t2").applyInPandas(_compare, "a binary, b binary")
-
-
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (a * _BASE + b) * np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(32)
-        return x * np.uint64(0x94D049BB133111EB) ^ (x >> np.uint64(29))
-
-
-def _rows_of(words: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of n words in a row, one for each place, from those of 1, 2, 4 ... words."""
-    out, have, size, piece = None, 0, 1, words
-    while True:
-        if n & size:
-            out = piece if out is None else _mixed(out[: len(words) - have - size + 1], piece[have:])
-            have += size
-        if have == n:
-            return out
-        piece, size = _mixed(piece[:-size], piece[size:]), 2 * size
+    return members.select("key", F.least("tile", "with").alias("t1"), F.greatest("tile", "with").alias("t2"), "tile", "fp")
 
 
-def _sliding(x: np.ndarray, n: int, least) -> np.ndarray:
-    """least(x[i : i + n]) at each place."""
-    size = 1
-    while 2 * size <= n:
-        x, size = least(x[:-size], x[size:]), 2 * size
-    return least(x[: len(x) - (n - size)], x[n - size :]) if n > size else x
+def near_links(members: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(a, b) between the fingerprints of similar nodes in a bucket."""
+    rows = members.join(shingles.dropDuplicates(["fp"]), "fp").select("key", "t1", "t2", "tile", "fp", "shingles")
+    return rows.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2").mapInArrow(_compared, "a binary, b binary")
 
 
-def marks(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the marks of at least min_words word hashes."""
-    k = (min_words + 1) // 2
-    w = min_words - k + 1
-    h = _rows_of(words, k)
-    low = _sliding(h, w, np.minimum)
-    # The least of some window: equal to the largest of the minima of the windows around it.
-    edge = np.zeros(w - 1, np.uint64)
-    places = np.flatnonzero(_sliding(np.concatenate([edge, low, edge]), w, np.maximum) == h)
-    return places, h[places]
-
-
-def _word_hashes(data: bytes, min_words: int) -> np.ndarray | None:
-    words = data.lower().split() if len(data) >= 2 * min_words - 1 else ()
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) if len(words) >= min_words else None
-
-
-def _marked(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at, found = [], []
-        for i, text in enumerate(batch.column(2)):
-            if text.is_valid and (words := _word_hashes(text.as_py().encode(), min_words)) is not None:
-                at.append(i)
-                found.append(np.unique(marks(words, min_words)[1]).view(np.int64))
-        rows = pa.array(at, pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array(found, pa.list_(pa.int64()))], ["id", "version", "marks"])
+def _segments(shared):
+    """Neighbouring runs (off, first, at), sorted by off, of which the first copies are neighbours too, as (a, b, first,
+    at): from off a to off b."""
+    breaks = lambda x, y: (x["off"] + 1 != y["off"]) | (x["at"] + 1 != y["at"]) | ~x["first"].eqNullSafe(y["first"])
+    heads = F.filter(
+        F.transform(shared, lambda x, i: F.when((i == 0) | breaks(F.get(shared, i - 1), x), i).otherwise(-1)), lambda i: i >= 0
+    )
+    stop = lambda k: F.coalesce(F.get(heads, k + 1), F.size(shared)) - 1
+    return F.transform(
+        heads, lambda i, k: F.struct(F.get(shared, i)["off"].alias("a"), F.get(shared, stop(k))["off"].alias("b"), F.get(shared, i)["first"].alias("first"), F.get(shared, i)["at"].alias("at"))
+    )
 
 
-def _runs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """The runs around a document's shared marks: hash, place in words, characters from and to, line."""
-    for batch in batches:
-        at, cols = [], [[] for _ in range(5)]
-        for i, (text, shared) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-            data = text.as_py().encode()
-            words = _word_hashes(data, min_words)
-            places, h = marks(words, min_words)
-            places = places[np.isin(h, shared.values.to_numpy().view(np.uint64))]
-            n = len(words) - min_words + 1
-            near = np.zeros(n + 1, np.int64)
-            np.add.at(near, np.maximum(places - (min_words - (min_words + 1) // 2), 0), 1)
-            np.add.at(near, np.minimum(places + 1, n), -1)
-            run = np.flatnonzero(np.cumsum(near[:n]) > 0)
-            raw = np.frombuffer(data, np.uint8)
-            inside = ~np.isin(raw, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
-            char = np.cumsum((raw & 0xC0) != 0x80) - 1
-            first = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
-            last = np.flatnonzero(inside & ~np.concatenate([inside[1:], [False]]))
-            line = np.cumsum(raw == 10)
-            at.append(np.full(len(run), i))
-            for c, v in zip(cols, (_rows_of(words, min_words)[run].view(np.int64), run, char[first[run]], char[last[run + min_words - 1]] + 1, line[first[run]]), strict=True):
-                c.append(v)
-        rows = pa.array(np.concatenate(at) if at else [], pa.int64())
-        kinds = pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32()
-        flat = [pa.array(np.concatenate(c) if c else [], pa.int64()).cast(k) for c, k in zip(cols, kinds, strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), *flat], ["id", "version", "run", "at", "begin", "end", "line"])
-
-
-def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, line, begin, end, first_id, first_line, members, documents, removed): the longest stretches whose runs of
-    min_words words (lower-cased) all stand in another document, and whose first copies, by id and place, adjoin too."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
-    marked = written(texts.mapInArrow(lambda b: _marked(b, min_words), f"id {kind}, version bigint, marks array<bigint>"), "marks")
-    each = marked.select("id", "version", F.explode("marks").alias("mark"))
-    several = F.min(F.struct("id")) != F.max(F.struct("id"))
-    shared = each.join(each.groupBy("mark").agg(several.alias("several")).where("several").select("mark"), "mark", "left_semi")
-    sought = shared.groupBy(F.col("id").alias("sid"), F.col("version").alias("sversion")).agg(F.collect_set("mark").alias("marks"))
-    both = texts.join(sought, texts["id"].eqNullSafe(F.col("sid")) & (texts["version"] == F.col("sversion"))).dropDuplicates(["id", "version"])
-    schema = f"id {kind}, version bigint, run bigint, at int, begin int, end int, line int"
-    runs = written(both.select("id", "version", "text", "marks").mapInArrow(lambda b: _runs(b, min_words), schema), "runs")
-    remove(docs.sparkSession, marked)
-    # A document's places of a run are counted before its documents are.
-    of_doc = runs.groupBy("run", "id").agg(F.count("*").alias("n"), F.min(F.struct("at", "version", "line")).alias("x"))
-    summed = of_doc.groupBy("run").agg(F.sum("n").alias("members"), F.count("*").alias("documents"), F.min(F.struct("id", "x")).alias("first")).where("documents > 1")
-    found = runs.join(summed, "run")
-    of_text = Window.partitionBy("id", "version").orderBy("at")
-    shift = F.col("at") - F.col("first.x.at")
-    found = found.select("id", "version", "at", "begin", "end", "line", "members", "documents", "first", shift.alias("shift"))
-    before = F.lag(F.struct("at", "shift", "first.id", "first.x.version")).over(of_text)
-    follows = before.eqNullSafe(F.struct((F.col("at") - 1).alias("at"), "shift", "first.id", "first.x.version"))
-    found = found.withColumn("no", F.sum(F.when(follows, 0).otherwise(1)).over(of_text))
-    own = F.struct("id", F.struct("at", "version", "line").alias("x"))
-    return found.groupBy("id", "version", "no").agg(
-        F.min("line").alias("line"), F.min("begin").cast("bigint").alias("begin"), F.max("end").cast("bigint").alias("end"), F.min_by("first", "at").alias("first"),
-        F.max("members").alias("members"), F.max("documents").alias("documents"), F.min_by(~own.eqNullSafe(F.col("first")), "at").alias("removed"),
-    ).select("id", "line", "begin", "end", F.col("first.id").alias("first_id"), F.col("first.x.line").alias("first_line"), "members", "documents", "removed")
-
-
-def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row for each paragraph that repeats, nearly or exactly, in another document, and one for each stretch of
-    repeated_runs() that isn't inside such a paragraph: (doc_id, paragraph, start, n_chars, component_id,
-    component_paragraph, members, documents, removed).
-
-    start and n_chars give its place in the text in characters, paragraph its number among all lines. The component is
-    named after its first paragraph by (doc_id, paragraph), which is the one that stays. A stretch has the number of the
-    line in which it begins, and the place of its first copy as component. Null and empty texts have no paragraphs, and
-    lines of fewer words are part of stretches only; repeated rows of one id count as one document; a null id is a document of its
-    own, first in order. Other columns are ignored; an empty table gives no rows. Whole texts are read.
+def repeated_stretches(found: DataFrame) -> DataFrame:
+    """(id, line, begin, end, first_id, members, removed) from the pieces of distinct texts: the longest stretches whose
+    runs all stand in another text, and whose first copies, by id and place, adjoin too."""
+    own = found.withColumn("first", F.struct("id", "t"))
+    last = F.struct("first", F.col("run").alias("at"), "runs")
+    keys = own.groupBy("mark", "key").agg(F.min(last).alias("x"), F.min("t").alias("low"), F.max("t").alias("high"), F.sum("copies").alias("members"))
+    keys = written(keys, "pieces")
+    many = keys.groupBy(F.col("mark").alias("m")).agg((F.count("*") > 1).alias("mixed"))
+    keys = keys.join(many, F.col("mark") == F.col("m")).drop("m")
+    whole = keys.where("not mixed and low != high")
+    whole = whole.select("mark", "key", "members", F.array(F.struct(F.lit(0).alias("a"), (F.size("x.runs") - 1).alias("b"), F.col("x.first"), F.col("x.at"))).alias("parts"))
+    # The runs of a mark's pieces that differ, of each piece once.
+    pool = keys.where("mixed").select("mark", "key", "low", "high", "members", "x.first", "x.at", F.posexplode("x.runs").alias("off", "one"))
+    pool = pool.withColumn("at", F.col("at") + F.col("off"))
+    shared = pool.groupBy("one").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("members").alias("members"), F.min(F.struct("first", "at")).alias("x")).where("low != high")
+    hits = pool.select("mark", "key", "off", "one").join(shared.select("one", "members", "x"), "one")
+    mixed = hits.groupBy("mark", "key").agg(F.max("members").alias("members"), F.array_sort(F.collect_list(F.struct("off", "x.first", "x.at"))).alias("shared"))
+    mixed = mixed.select("mark", "key", "members", _segments(F.col("shared")).alias("parts"))
+    # As many rows as pieces: a piece of a passage that many texts share is joined in several tasks.
+    parts = salted_join(own, whole.unionByName(mixed), ["mark", "key"], F.xxhash64("t", "run"))
+    parts = parts.select("id", "t", "run", "begins", "ends", "lines", "members", "first", F.explode("parts").alias("p"))
+    parts = parts.select(
+        "id", "t", (F.col("run") + F.col("p.a")).alias("lo"), (F.col("run") + F.col("p.b")).alias("hi"), F.get("begins", F.col("p.a")).alias("begin"), F.get("ends", F.col("p.b")).alias("end"),
+        F.get("lines", F.col("p.a")).alias("line"), "members", F.col("p.first").alias("of"), (F.col("run") + F.col("p.a") - F.col("p.at")).alias("shift"), F.col("first").alias("own"),
+    ).distinct()
+    of_text = Window.partitionBy("t").orderBy("lo")
+    follows = F.lag(F.struct("hi", "shift", "of")).over(of_text).eqNullSafe(F.struct((F.col("lo") - 1).alias("hi"), "shift", "of"))
+    parts = parts.withColumn("no", F.sum(F.when(follows, 0).otherwise(1)).over(of_text))
+    removed = ~(F.col("own").eqNullSafe(F.col("of")) & (F.col("shift") == 0))
+    return parts.groupBy("t", "no").agg(
+        F.first("id").alias("id"), F.min("line").alias("line"), F.min("begin").cast("bigint").alias("begin"), F.max("end").cast("bigint").alias("end"), F.first("of.id").alias("first_id"),
+        F.max("members").alias("members"), F.first(removed).alias("removed"),
+    ).select("id", "line", "begin", "end", "first_id", "members", "removed")
+
+
+def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, gram: int | None = None) -> DataFrame:
+    """(doc_id, kind, paragraph, start, n_chars, component_id, members, removed): what repeats in another document.
+
+    kind says what: "paragraph", a line of min_words words or more that repeats nearly or exactly; "stretch", words in a
+    row, min_words or more, all runs of which stand in another text, unless they lie within such a paragraph; "text", the
+    whole text of documents that are equal. start and n_chars give the place in the text in characters, paragraph the
+    number of its line (of a stretch: where it begins). The component is named after the least id; its first copy, by id
+    and place, is the one that isn't removed. members counts a paragraph's or run's places, a text's documents.
+
+    Stretches are given for the first document of equal texts; the others have the row of their whole text. Null, empty
+    and shorter texts have nothing; repeated rows of one id count as one document; a null id is a document of its own,
+    first in order. Other columns are ignored; an empty table gives no rows. Whole texts are read.
     """
+    gram = gram or (min_words + 1) // 2
     kind = docs.schema[id_col].dataType.simpleString()
-    found = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        lambda b: _paragraphs(b, min_words), f"id {kind}, no int, start bigint, chars bigint, fp binary, shingles binary, keys array<bigint>"
-    )
-    table = written(found, "paragraphs")
-    joined = components(near_links(table))
-    places = table.select("id", "no", "start", "chars", "fp").distinct()
-    named = places.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("c", F.coalesce("component", "fp"))
-    sizes = named.groupBy("c").agg(
-        F.count("*").alias("members"), F.count_distinct(F.struct("id")).alias("documents"), F.min(F.struct("id", "no")).alias("first")
-    )
-    out = named.join(sizes.where("documents > 1"), "c")
-    out = out.select(
-        F.col("id").alias(id_col), F.col("no").alias("paragraph"), "start", F.col("chars").alias("n_chars"), F.col("first.id").alias("component_id"),
-        F.col("first.no").alias("component_paragraph"), "members", "documents", (~F.struct("id", "no").eqNullSafe(F.col("first"))).alias("removed"),
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    line = "struct<no:int,start:bigint,chars:bigint,fp:binary,keys:array<bigint>>"
+    table = written(texts.mapInArrow(lambda b: _scan(b, min_words, gram), f"id {kind}, t bigint, words bigint, marks array<bigint>, lines array<{line}>"), "scan")
+    lines = table.select("id", "t", F.explode("lines").alias("line")).select("id", "t", "line.*")
+    members = written(band_members(lines), "members")
+    # What to look at again: marks that stand in two texts, and one place of each node that is in a bucket.
+    each = table.select("t", F.explode("marks").alias("mark"))
+    shared = each.groupBy("mark").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low != high").select("mark")
+    marks = salted_join(each, shared, ["mark"], F.col("t")).groupBy("t").agg(F.collect_set("mark").alias("marks"))
+    nodes = salted_join(lines.select("fp", "t", "no"), members.select("fp").distinct(), ["fp"], F.xxhash64("t", "no"))
+    places = nodes.groupBy("fp").agg(F.min(F.struct("t", "no")).alias("x")).groupBy("x.t").agg(F.collect_set("x.no").alias("numbers"))
+    copies = table.select("id", "t", "words").distinct().groupBy("t").agg(F.min(F.struct("id")).alias("first"), F.count("*").alias("copies"))
+    copies = written(copies, "copies")
+    need = marks.join(places, "t", "full").join(copies, "t").select(F.col("t").alias("nt"), F.col("first.id").alias("nid"), "marks", "numbers", "copies")
+    again = texts.where(F.octet_length("text") >= 2 * min_words - 1).join(need, (F.col("t") == F.col("nt")) & F.col("id").eqNullSafe(F.col("nid")))
+    schema = f"id {kind}, t bigint, copies bigint, mark bigint, key bigint, run bigint, runs array<bigint>, begins array<int>, ends array<int>, lines array<int>, fp binary, shingles binary"
+    found = again.select("id", "t", "text", "marks", "numbers", "copies").mapInArrow(lambda b: _details(b, min_words, gram), schema)
+    found = written(found, "details")
+    joined = components(near_links(members, found.where(F.col("fp").isNotNull()).select("fp", "shingles")))
+    spots = lines.select("id", "no", "start", "chars", "fp").distinct()
+    # A node of no component is one by itself.
+    named = salted_join(spots, joined.withColumnRenamed("node", "fp"), ["fp"], F.xxhash64("id", "no"), "left").withColumn("c", F.coalesce("component", "fp"))
+    of_doc = F.struct("id")
+    sizes = named.groupBy("c").agg(F.count("*").alias("members"), F.min(of_doc).alias("low"), F.max(of_doc).alias("high"), F.min(F.struct("id", "no")).alias("first"))
+    whole = salted_join(named, sizes.where("low != high").drop("low", "high"), ["c"], F.xxhash64("id", "no"))
+    whole = written(
+        whole.select(
+            "id", F.col("no").alias("line"), F.col("start").alias("begin"), (F.col("start") + F.col("chars")).alias("end"), F.col("first.id").alias("first_id"), "members",
+            (~F.struct("id", "no").eqNullSafe(F.col("first"))).alias("removed"),
+        ), "repeated",
     )
-    whole = written(out, "repeated")
-    line = whole.select(F.col(id_col).alias("wid"), "paragraph", "start", (F.col("start") + F.col("n_chars")).alias("stop")).distinct()
-    runs = repeated_runs(docs, id_col, text_col, min_words)
-    within = runs["id"].eqNullSafe(line["wid"]) & (runs["line"] == line["paragraph"]) & (runs["begin"] >= line["start"]) & (runs["end"] <= line["stop"])
-    runs = runs.join(line, within, "left_anti")
-    return whole.unionByName(
-        runs.select(
-            F.col("id").alias(id_col), F.col("line").alias("paragraph"), F.col("begin").alias("start"), (F.col("end") - F.col("begin")).alias("n_chars"),
-            F.col("first_id").alias("component_id"), F.col("first_line").alias("component_paragraph"), "members", "documents", "removed",
-        )
+    runs = repeated_stretches(found.where(F.col("mark").isNotNull()))
+    held = whole.select(F.col("id").alias("wid"), F.col("line").alias("wline"), F.col("begin").alias("wbegin"), F.col("end").alias("wend"))
+    within = runs["id"].eqNullSafe(held["wid"]) & (runs["line"] == held["wline"]) & (runs["begin"] >= held["wbegin"]) & (runs["end"] <= held["wend"])
+    runs = runs.join(held, within, "left_anti")
+    equal = salted_join(texts.select("id", "t", F.char_length("text").cast("bigint").alias("end")).distinct(), copies.where("copies > 1"), ["t"], F.xxhash64("id"))
+    equal = equal.select(
+        "id", F.lit(0).alias("line"), F.lit(0).cast("bigint").alias("begin"), "end", F.col("first.id").alias("first_id"), F.col("copies").alias("members"), (~F.col("id").eqNullSafe(F.col("first.id"))).alias("removed")
+    )
+    out = whole.withColumn("kind", F.lit("paragraph")).unionByName(runs.withColumn("kind", F.lit("stretch"))).unionByName(equal.withColumn("kind", F.lit("text")))
+    out = written(
+        out.select(
+            F.col("id").alias(id_col), "kind", F.col("line").alias("paragraph"), F.col("begin").alias("start"), (F.col("end") - F.col("begin")).alias("n_chars"),
+            F.col("first_id").alias("component_id"), "members", "removed",
+        ), "spans",
     )
+    for x in (table, members, copies, found, whole):
+        remove(docs.sparkSession, x)
+    return out
 
 
 def _without(batches: Iterator[pa.RecordBatch], at: int, gone: int) -> Iterator[pa.RecordBatch]:

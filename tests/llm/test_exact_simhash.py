@@ -5,10 +5,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from skein.llm import exact, simhash
+from skein.llm import exact, paragraphs, simhash
 from skein.llm.graph import components
 from skein.llm.paragraphs import links_in, repeated_paragraphs, shingle_set, similarity, without_repeats
 
@@ -146,7 +147,7 @@ def test_repeated_paragraphs(spark):
     rows = [(1, "head\n" + " ".join(p)), (2, " ".join(edited) + "\ntail"), (3, own + "\n" + own), (4, None), (5, ""), (6, " ".join(p[:30])), (None, " ".join(p).upper())]
     got = {(r["doc_id"], r["paragraph"]): r for r in repeated_paragraphs(docs(spark, rows)).collect()}
     assert set(got) == {(1, 1), (2, 0), (None, 0)}
-    assert all((r["component_id"], r["component_paragraph"], r["members"], r["documents"]) == (None, 0, 3, 3) for r in got.values())
+    assert all((r["kind"], r["component_id"], r["members"]) == ("paragraph", None, 3) for r in got.values())
     assert [r["removed"] for k, r in got.items() if k[0] is None] == [False] and got[1, 1]["start"] == 5
     kept = {r["doc_id"]: r["text"] for r in without_repeats(docs(spark, rows)).collect()}
     assert kept[1] == "head" and kept[2] == "tail" and kept[3] == own + "\n" + own and kept[4] is None
@@ -179,6 +180,55 @@ def test_repeats_over_lines_and_inside_longer_ones(spark):
     assert kept[None] == texts[None] and kept[3] == texts[3] and kept[2] == rows[1][1].split("\n")[0] + "\nö end" and kept[4].strip() == " ".join(texts[4].split()[:200])
 
 
+@pytest.mark.parametrize("chunk", [1 << 23, 40])
+def test_stretches_against_all_runs(spark, monkeypatch, chunk):
+    """One word a line, so that there are no paragraphs: the stretches cover exactly the runs that stand in another text."""
+    monkeypatch.setattr(paragraphs, "CHUNK", chunk)
+    rng = random.Random(11)
+    some = lambda n, of="abcdefghijklmnopqrstuvwxyz": [rng.choice(of) + rng.choice(of) for _ in range(n)]
+    passages = [some(n) for n in (6, 7, 9, 15, 30, 5)]
+    lists = []
+    for _ in range(60):
+        words = some(rng.randrange(0, 30))
+        for _ in range(rng.randrange(0, 4)):
+            words += rng.choice(passages)[rng.randrange(0, 3) :] + some(rng.randrange(0, 8))
+        lists.append(words)
+    lists += [some(200, "ab") for _ in range(4)] + [lists[3], lists[5], lists[5]]
+    rows = [(i if i != 7 else None, "\n".join(w).upper() if i % 5 == 1 else "\n".join(w)) for i, w in enumerate(lists)]
+    got = repeated_paragraphs(docs(spark, rows), min_words=6).collect()
+    texts, runs = dict(rows), {}
+    for i, t in rows:
+        w = t.lower().split()
+        for k in range(len(w) - 5):
+            runs.setdefault(tuple(w[k : k + 6]), set()).add(t)
+    for i, t in rows:
+        w, covered = t.lower().split(), set()
+        want = {k for k in range(len(w) - 5) if len(runs[tuple(w[k : k + 6])]) > 1}
+        starts = [m.start() for m in re.finditer(r"\S+", t)]
+        for r in got:
+            if r["doc_id"] == i and r["kind"] == "stretch":
+                n = len(texts[i][r["start"] : r["start"] + r["n_chars"]].split())
+                covered |= set(range(starts.index(r["start"]), starts.index(r["start"]) + n - 5))
+        first = min((j for j, u in rows if u == t), key=lambda j: (j is not None, j))
+        assert covered == (want if i == first else set()), i
+    whole = {r["doc_id"] for r in got if r["kind"] == "text"}
+    assert whole == {i for i, t in rows if sum(u == t for _, u in rows) > 1 and len(t.split()) >= 6}
+    # What stays of all texts has each repeated run once.
+    kept = [r["text"].lower().split() for r in without_repeats(docs(spark, rows), min_words=6).collect()]
+    left = [tuple(w[k : k + 6]) for w in kept for k in range(len(w) - 5)]
+    assert all(left.count(x) <= 1 or x not in runs or len(runs[x]) < 2 or set("".join(x)) <= set("ab") for x in left)
+
+
+def test_links_over_tiles(spark, monkeypatch):
+    """Near copies in one bucket of several tiles are all linked."""
+    monkeypatch.setattr(paragraphs, "TILE", 4)
+    rng = random.Random(12)
+    base = [rng.choice("abcdefgh") * rng.randrange(1, 9) + str(i) for i in range(120)]
+    rows = [(i, " ".join(base[:i] + ["x"] + base[i + 1 :])) for i in range(40)] + [(100 + i, " ".join(rng.choice("qrst") + str(rng.random()) for _ in range(60))) for i in range(9)]
+    got = [r for r in repeated_paragraphs(docs(spark, rows)).collect() if r["kind"] == "paragraph"]
+    assert {r["doc_id"] for r in got} == set(range(40)) and all((r["component_id"], r["members"]) == (0, 40) for r in got)
+
+
 def test_links_in_matches_all_pairs():
     rng = np.random.default_rng(8)
     sets = [np.unique(rng.integers(0, 60, 50).astype(np.uint32)) for _ in range(30)]
