@@ -49,6 +49,17 @@ def salted_join(large: DataFrame, small: DataFrame, on: list[str], spread: Colum
     return large.join(small, [*on, "salt of join"], how).drop("salt of join")
 
 
+#: Bytes of keys that may go to every task.
+KEY_BYTES = 8 << 20
+
+
+def only_keys(large: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of `large` whose key, a bigint, is among the keys, so that a join behind it moves no others; if the keys
+    are more than KEY_BYTES, all rows, and the join sorts them out."""
+    keys = keys.distinct()
+    return large.join(F.broadcast(keys), key, "left_semi") if 8 * keys.count() <= KEY_BYTES else large
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

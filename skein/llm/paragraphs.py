@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import remove, salted_join, written
+from .common import only_keys, remove, salted_join, written
 from .graph import components
 
 MIN_WORDS, SHINGLE, SIMILARITY = 50, 5, 0.8
@@ -327,23 +327,26 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def band_members(lines: DataFrame) -> DataFrame:
-    """(key, t1, t2, tile, fp): the nodes of every bucket of two and more, by pair of tiles; lines has fp and keys."""
+    """(key, t1, t2, tile, node): the nodes of every bucket of two and more, by pair of tiles; lines has fp and keys."""
     nodes = lines.where(F.col("keys").isNotNull()).groupBy("fp").agg(F.first("keys").alias("keys"))
-    keyed = nodes.select("fp", F.explode("keys").alias("key"))
-    mix = [F.bit_xor(F.xxhash64("fp", F.lit(i))).alias(f"mix{i}") for i in range(2)]
-    buckets = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("least"), *mix).where("n > 1")
+    keyed = nodes.select(F.xxhash64("fp").alias("node"), F.explode("keys").alias("key"))
+    several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = written(salted_join(keyed, several, ["key"], F.col("node")), "buckets")
+    mix = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mix{i}") for i in range(2)]
+    buckets = shared.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least"), *mix)
     # The same members under several bands are compared once.
     chosen = buckets.groupBy("n", "least", "mix0", "mix1").agg(F.min("key").alias("key"))
     chosen = chosen.select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    members = keyed.join(chosen, "key").withColumn("tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
+    members = salted_join(shared, chosen, ["key"], F.col("node")).withColumn("tile", F.pmod("node", F.col("tiles")).cast("int"))
     # A tile meets itself and every other one: (smaller, larger).
     members = members.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return members.select("key", F.least("tile", "with").alias("t1"), F.greatest("tile", "with").alias("t2"), "tile", "fp")
+    return members.select("key", F.least("tile", "with").alias("t1"), F.greatest("tile", "with").alias("t2"), "tile", "node")
 
 
 def near_links(members: DataFrame, shingles: DataFrame) -> DataFrame:
     """(a, b) between the fingerprints of similar nodes in a bucket."""
-    rows = members.join(shingles.dropDuplicates(["fp"]), "fp").select("key", "t1", "t2", "tile", "fp", "shingles")
+    sets = shingles.dropDuplicates(["fp"]).withColumn("node", F.xxhash64("fp"))
+    rows = members.join(sets, "node").select("key", "t1", "t2", "tile", "fp", "shingles")
     return rows.repartition("key", "t1", "t2").sortWithinPartitions("key", "t1", "t2").mapInArrow(_compared, "a binary, b binary")
 
 
@@ -417,14 +420,19 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = written(band_members(lines), "members")
     # What to look at again: marks that stand in two texts, and one place of each node that is in a bucket.
     each = table.select("t", F.explode("marks").alias("mark"))
+    # First those that occur twice, equal texts included, as that needs no text to go along.
+    twice = each.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
+    each = written(salted_join(each, twice, ["mark"], F.col("t")), "marks")
     shared = each.groupBy("mark").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low != high").select("mark")
     marks = salted_join(each, shared, ["mark"], F.col("t")).groupBy("t").agg(F.collect_set("mark").alias("marks"))
-    nodes = salted_join(lines.select("fp", "t", "no"), members.select("fp").distinct(), ["fp"], F.xxhash64("t", "no"))
+    nodes = salted_join(lines.select(F.xxhash64("fp").alias("node"), "fp", "t", "no"), members.select("node").distinct(), ["node"], F.xxhash64("t", "no"))
     places = nodes.groupBy("fp").agg(F.min(F.struct("t", "no")).alias("x")).groupBy("x.t").agg(F.collect_set("x.no").alias("numbers"))
     copies = table.select("id", "t", "words").distinct().groupBy("t").agg(F.min(F.struct("id")).alias("first"), F.count("*").alias("copies"))
     copies = written(copies, "copies")
     need = marks.join(places, "t", "full").join(copies, "t").select(F.col("t").alias("nt"), F.col("first.id").alias("nid"), "marks", "numbers", "copies")
-    again = texts.where(F.octet_length("text") >= 2 * min_words - 1).join(need, (F.col("t") == F.col("nt")) & F.col("id").eqNullSafe(F.col("nid")))
+    need = written(need, "need")
+    again = only_keys(texts.where(F.octet_length("text") >= 2 * min_words - 1), need.select(F.col("nt").alias("t")), "t")
+    again = again.join(need, (F.col("t") == F.col("nt")) & F.col("id").eqNullSafe(F.col("nid")))
     schema = f"id {kind}, t bigint, copies bigint, mark bigint, key bigint, run bigint, runs array<bigint>, begins array<int>, ends array<int>, lines array<int>, fp binary, shingles binary"
     found = again.select("id", "t", "text", "marks", "numbers", "copies").mapInArrow(lambda b: _details(b, min_words, gram), schema)
     found = written(found, "details")
@@ -456,7 +464,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             F.col("first_id").alias("component_id"), "members", "removed",
         ), "spans",
     )
-    for x in (table, members, copies, found, whole):
+    for x in (table, members, each, copies, need, found, whole):
         remove(docs.sparkSession, x)
     return out
 
