@@ -279,21 +279,52 @@ def test_tokens_as_the_library(codec, library):
         s = "".join(rng.choice(" aabcdetheing eéüß\n\t!?#'s漢字😀0123  ") for _ in range(rng.randint(0, 70)))
         want = library.encode_ordinary(s)
         assert codec.encode(s) == want
-        assert codec.slab([s]) == [(",".join(map(str, want)), s.encode())]
+        ids, ends, back = codec.slab([s.encode()])
+        assert (ids.tolist(), ends.tolist(), back) == (want, [len(want)], s.encode())
 
 
 def test_slabs(codec, library, monkeypatch):
-    """Texts longer than a slab are cut, and what is remembered goes after a while."""
+    """Texts longer than a slab are cut, long pieces stand apart, and what is remembered goes after a while."""
     rng = random.Random(3)
-    texts = ["".join(rng.choice(" ab the ing\né!  's0") for _ in range(rng.choice((0, 3, 40, 900)))) for _ in range(200)] + ["word " * 300, " " * 400, "x" * 500]
+    texts = ["".join(rng.choice(" ab the ing\né!  's0'") for _ in range(rng.choice((0, 3, 40, 900)))) for _ in range(200)] + ["word " * 300, " " * 400, "x" * 500, "don't we'll'd 're'x 'Ve \n's''s"]
     monkeypatch.setattr(bpe, "SLAB", 64)
-    monkeypatch.setattr(bpe, "MEMORY", 50)
-    for text, parts in zip(texts, codec.slabs(texts), strict=True):
-        every = [*parts]
-        want = library.encode_ordinary(text)
-        assert ",".join(x[0] for x in every if x[0]) == ",".join(map(str, want)) and b"".join(x[1] for x in every) == text.encode()
+    monkeypatch.setattr(bpe, "PAIRS", 50)
+    got, held = [], []
+    for n, ids, ends, back in codec.slabs([t.encode() for t in texts]):
+        if not n:
+            held += ids.tolist()
+            continue
+        for a, b in zip([0, *ends], ends, strict=False):
+            got.append(held + ids[a:b].tolist())
+            held = []
+    assert got == [library.encode_ordinary(t) for t in texts]
     other = bpe.Codec(codec.vocabulary.ranks, r"\S+|\s+")
-    assert not other.by_spaces and other.slab(["ab  c"])[0][1] == b"ab  c"
+    ids, ends, back = other.slab([b"ab  c", b""])
+    assert not other.by_category and back == b"ab  c" and ends.tolist() == [len(ids)] * 2 and other.decimals(ids) == b"".join(b"%d," % i for i in ids)
+
+
+def test_a_hash_that_misleads(codec, library, monkeypatch):
+    """Pieces of equal hashes are found by what the ids decode to."""
+    own, called = codec._span, []
+
+    def alike(hashes, start, end):
+        called.append(len(start))
+        return np.full(len(start), own(hashes, start, end)[0]) if len(called) == 1 else own(hashes, start, end)
+
+    monkeypatch.setattr(codec, "_span", alike)
+    ids, _, back = codec.slab([b"two words"])
+    assert ids.tolist() == library.encode_ordinary("two words") and back == b"two words"
+
+
+def test_table_of_keys():
+    rng = np.random.default_rng(4)
+    table, known = bpe.Table(3), {}
+    for _ in range(20):
+        keys = np.unique(rng.integers(0, 500, 40).astype(np.uint64))
+        keys = keys[table.get(keys) < 0]
+        table.put(keys, (keys % 7).astype(np.int32))
+        known |= {int(k): int(k) % 7 for k in keys}
+        assert table.get(np.arange(500, dtype=np.uint64)).tolist() == [known.get(k, -1) for k in range(500)]
 
 
 def test_append_and_edit(codec):
@@ -320,6 +351,14 @@ def test_encode_and_decode_tables(spark, library):
     dig = {r["doc_id"]: r for r in bpe.digest_texts(df, PATH, public_tokenizers.PATTERN).collect()}
     assert dig[1]["n_tokens"] == 0 and dig[1]["ids_sha256"] == hashlib.sha256(b"").hexdigest() and dig[None]["n_tokens"] == len(got[None])
     assert bpe.digest_texts(df.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
+    for verify in (False, True):
+        assert bpe.encode_texts(df, PATH, public_tokenizers.PATTERN, verify=verify).where("size(ids) > 0").count() == 3
+    texts = [(i, "a bé 's \n" * i) for i in range(40)] + [(99, "long text, cut " * 400_000)]
+    dig = {r["doc_id"]: r for r in bpe.digest_texts(frame(spark, texts), PATH, public_tokenizers.PATTERN).collect()}
+    for i, t in texts:
+        ids = library.encode_ordinary(t)
+        assert dig[i]["n_tokens"] == len(ids) and dig[i]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest() and dig[i]["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+    assert [len(r["ids"]) for r in bpe.encode_texts(frame(spark, texts), PATH, public_tokenizers.PATTERN, verify=True).orderBy("doc_id").select("ids").collect()] == [dig[i]["n_tokens"] for i, _ in texts]
 
 
 def test_stirling():
