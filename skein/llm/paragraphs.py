@@ -331,7 +331,7 @@ def band_members(lines: DataFrame) -> DataFrame:
     nodes = lines.where(F.col("keys").isNotNull()).groupBy("fp").agg(F.first("keys").alias("keys"))
     keyed = nodes.select(F.xxhash64("fp").alias("node"), F.explode("keys").alias("key"))
     several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = written(salted_join(keyed, several, ["key"], F.col("node")), "buckets")
+    shared = written(keyed.join(several, "key"), "buckets")
     mix = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mix{i}") for i in range(2)]
     buckets = shared.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("least"), *mix)
     # The same members under several bands are compared once.
@@ -370,9 +370,9 @@ def repeated_stretches(found: DataFrame) -> DataFrame:
     last = F.struct("first", F.col("run").alias("at"), "runs")
     keys = own.groupBy("mark", "key").agg(F.min(last).alias("x"), F.min("t").alias("low"), F.max("t").alias("high"), F.sum("copies").alias("members"))
     keys = written(keys, "pieces")
-    many = keys.groupBy(F.col("mark").alias("m")).agg((F.count("*") > 1).alias("mixed"))
-    keys = keys.join(many, F.col("mark") == F.col("m")).drop("m")
-    whole = keys.where("not mixed and low != high")
+    many = keys.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark", F.lit(True).alias("mixed"))
+    keys = salted_join(keys, many, ["mark"], F.col("key"), "left")
+    whole = keys.where("mixed is null and low != high")
     whole = whole.select("mark", "key", "members", F.array(F.struct(F.lit(0).alias("a"), (F.size("x.runs") - 1).alias("b"), F.col("x.first"), F.col("x.at"))).alias("parts"))
     # The runs of a mark's pieces that differ, of each piece once.
     pool = keys.where("mixed").select("mark", "key", "low", "high", "members", "x.first", "x.at", F.posexplode("x.runs").alias("off", "one"))
@@ -381,8 +381,8 @@ def repeated_stretches(found: DataFrame) -> DataFrame:
     hits = pool.select("mark", "key", "off", "one").join(shared.select("one", "members", "x"), "one")
     mixed = hits.groupBy("mark", "key").agg(F.max("members").alias("members"), F.array_sort(F.collect_list(F.struct("off", "x.first", "x.at"))).alias("shared"))
     mixed = mixed.select("mark", "key", "members", _segments(F.col("shared")).alias("parts"))
-    # As many rows as pieces: a piece of a passage that many texts share is joined in several tasks.
-    parts = salted_join(own, whole.unionByName(mixed), ["mark", "key"], F.xxhash64("t", "run"))
+    # The piece of a passage that many texts share is a skewed key, which adaptive execution deals to several tasks.
+    parts = own.select("mark", "key", "id", "t", "run", "begins", "ends", "lines", "first").join(whole.unionByName(mixed), ["mark", "key"])
     parts = parts.select("id", "t", "run", "begins", "ends", "lines", "members", "first", F.explode("parts").alias("p"))
     parts = parts.select(
         "id", "t", (F.col("run") + F.col("p.a")).alias("lo"), (F.col("run") + F.col("p.b")).alias("hi"), F.get("begins", F.col("p.a")).alias("begin"), F.get("ends", F.col("p.b")).alias("end"),
@@ -422,10 +422,10 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     each = table.select("t", F.explode("marks").alias("mark"))
     # First those that occur twice, equal texts included, as that needs no text to go along.
     twice = each.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    each = written(salted_join(each, twice, ["mark"], F.col("t")), "marks")
+    each = written(each.join(twice, "mark"), "marks")
     shared = each.groupBy("mark").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low != high").select("mark")
-    marks = salted_join(each, shared, ["mark"], F.col("t")).groupBy("t").agg(F.collect_set("mark").alias("marks"))
-    nodes = salted_join(lines.select(F.xxhash64("fp").alias("node"), "fp", "t", "no"), members.select("node").distinct(), ["node"], F.xxhash64("t", "no"))
+    marks = each.join(shared, "mark").groupBy("t").agg(F.collect_set("mark").alias("marks"))
+    nodes = lines.select(F.xxhash64("fp").alias("node"), "fp", "t", "no").join(members.select("node").distinct(), "node")
     places = nodes.groupBy("fp").agg(F.min(F.struct("t", "no")).alias("x")).groupBy("x.t").agg(F.collect_set("x.no").alias("numbers"))
     copies = table.select("id", "t", "words").distinct().groupBy("t").agg(F.min(F.struct("id")).alias("first"), F.count("*").alias("copies"))
     copies = written(copies, "copies")
