@@ -11,10 +11,13 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 #: Fixed by the contract: phrase and label.
 BASE = {
     "gnu general public license": "gpl",
@@ -77,8 +80,17 @@ def postings() -> list[tuple[str, int, str, int, float, bool]]:
 
 
 def anchors() -> list[str]:
-    """Words such that every template's key phrases hold one: files without any can't match."""
-    return ["license", "copyright", "redistribution", "creative", "cc", "permission", "distribute", "reserved", "unencumbered", "liable"]
+    """Words such that every template's key phrases hold one, so that files without any can't match: again and again the
+    word that stands in most of the templates left, the rarer of all on ties."""
+    left = [{w for k in keys for w in k.split() if w not in COMMON and len(w) > 1} for _, _, keys in TEMPLATES]
+    everywhere = Counter(w for x in left for w in x)
+    out = []
+    while left:
+        now = Counter(w for x in left for w in x)
+        word = min(now, key=lambda w: (-now[w], everywhere[w], w))
+        out.append(word)
+        left = [x for x in left if word not in x]
+    return out
 
 
 def spaced(text: Column) -> Column:
@@ -112,21 +124,30 @@ def base_columns(words: Column) -> dict[str, Column]:
     }
 
 
+#: Positions that share a mask.
+MASK = 62
+
+
 def template_matches(docs: DataFrame) -> DataFrame:
-    """(id, label, template, at, score): each file's best verified alignment of each template it holds."""
+    """(id, text, label, template, at, score): the best alignment of each template that a text holds; docs(id, text, words),
+    where text is a hash of the words. Rows that repeat a text change nothing: positions are collected in masks."""
     spark = docs.sparkSession
     index = F.broadcast(spark.createDataFrame(postings(), "word string, template int, label string, pos int, share double, rare boolean"))
-    candidates = docs.where(F.col("words").rlike(f" (?:{'|'.join(map(re.escape, anchors()))}) "))
-    places = candidates.select("id", F.posexplode(F.split(F.substring("words", 2, 2_000_000_000), " ")).alias("at", "word"))
+    shares = F.broadcast(spark.createDataFrame([(i, [x[4] for x in postings() if x[1] == i]) for i in range(len(TEMPLATES))], "template int, shares array<double>"))
+    places = docs.select("id", "text", F.posexplode(F.split(F.substring("words", 2, 2_000_000_000), " ")).alias("at", "word"))
     hits = places.join(index, "word")
+    bit = F.expr(f"shiftleft(1L, int(pos % {MASK}))")
+    masks = hits.groupBy("id", "text", "template", "label", (F.col("at") - F.col("pos")).alias("at"), (F.col("pos") / MASK).cast("int").alias("part")).agg(F.bit_or(bit).alias("mask"), F.max("rare").alias("rare"))
+    held = F.expr(f"filter(shares, (x, i) -> int(i / {MASK}) = part AND (shiftright(mask, i % {MASK}) & 1) = 1)")
+    masks = masks.join(shares, "template").withColumn("share", F.aggregate(held, F.lit(0.0), lambda a, x: a + x))
     lines = (
-        hits.groupBy("id", "template", "label", (F.col("at") - F.col("pos")).alias("at"))
+        masks.groupBy("id", "text", "template", "label", "at")
         .agg(F.round(F.sum("share"), 9).alias("score"), F.max("rare").alias("rare"))
         .where("rare")
-        .groupBy("id", "template", "label")
+        .groupBy("id", "text", "template", "label")
         .agg(F.max(F.struct("score", (-F.col("at")).alias("at"))).alias("best"))
     )
-    return lines.select("id", "label", "template", (-F.col("best.at")).alias("at"), F.col("best.score").alias("score"))
+    return lines.select("id", "text", "label", "template", (-F.col("best.at")).alias("at"), F.col("best.score").alias("score"))
 
 
 def _verified(words: Column) -> Column:
@@ -147,16 +168,20 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of docs: (doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, templates).
 
     A null text counts as empty and has no words or labels, null positions and score 0. score is 1 if a base phrase
-    stands in the text, else the best verified template's share of weight (0 to 1). Rows that share an id share the
-    method's labels; null ids are one id. Other columns are ignored; an empty table gives no rows.
+    stands in the text, else the best verified template's share of weight (0 to 1). Each row is judged by its own text;
+    rows that repeat stay and are alike. Other columns are ignored; an empty table gives no rows. Texts are normalised
+    once: the words of files that may match are written to the shared folder.
     """
     rows = docs.select(F.col(id_col).alias("id"), spaced(F.col(text_col)).alias("words"))
     candidate = F.col("words").rlike(f" (?:{'|'.join(map(re.escape, anchors()))}) ")
     base = rows.withColumns(base_columns(F.col("words"))).withColumn("verified", F.when(candidate, _verified(F.col("words"))))
+    likely = F.size("verified") > 0
+    base = base.withColumn("words", F.when(likely, F.col("words"))).withColumn("text", F.xxhash64("words"))
+    base = written(base, "licences")
+    best = template_matches(base.where("words is not null").select("id", "text", "words")).where(F.col("score") >= LEAST)
+    best = best.groupBy("id", "text").agg(F.collect_list(F.struct("template", "label", "score", "at")).alias("best")).withColumnsRenamed({"id": "bid", "text": "btext"})
     base = base.drop("words")
-    best = template_matches(rows).where(F.col("score") >= LEAST)
-    best = best.groupBy("id").agg(F.collect_list(F.struct("template", "label", "score", "at")).alias("best")).withColumnRenamed("id", "bid")
-    both = base.join(best, on=base.id.eqNullSafe(best.bid), how="left")
+    both = base.join(best, on=base["id"].eqNullSafe(best["bid"]) & (base["text"] == best["btext"]), how="left")
     held = F.filter(F.coalesce("best", F.expr("array()").cast("array<struct<template:int,label:string,score:double,at:int>>")), lambda t: F.array_contains(F.col("verified"), t["template"]))
     both = both.withColumn("held", F.array_sort(held))
     labels = F.array_sort(F.array_union("found", F.transform("held", lambda t: t["label"])))
