@@ -20,14 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|object)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>",
-    re.S | re.I,
-)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/><]*)", re.S)
+_PLAIN = re.compile(r"[^>\"']*")
 _ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
-_RAW_END = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style noscript template textarea title iframe svg math object".split()}
+#: Elements whose content isn't markup of the page.
+RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in "script style noscript template textarea title iframe svg math object".split()}
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that end a block; all others stand within a line.
@@ -39,12 +36,33 @@ BLOCK = set(
 LEAF = set("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote figcaption td th summary address ul ol dl table tbody tr thead tfoot figure".split())
 DROPPED = set("nav header footer aside form button select option menu dialog fieldset head label input canvas audio video".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alertdialog menu menubar form alert".split())
+#: Words that name page furniture, and words that say no more than that something is a part of a page. A class or id
+#: names furniture by its last word that says something, or by its first one if the others say nothing or name it too:
+#: site-footer and comment-list do, related-work and notice-period don't.
 FURNITURE = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|adv|advert\w*|adsense|adbox|adslot|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|gdpr|notice\w*|notification\w*|alert\w*|popup|modal|overlay"
-    r"|newsletter|subscri\w*|signup|login|share|sharing|social\w*|related|recommend\w*|sidebar\w*|side-?bar|widget\w*|menu\w*|nav|navbar|navigation|breadcrumb\w*|pagination|pager"
-    r"|comment\w*|disqus\w*|respond|replies|reply|footer\w*|header|masthead|topbar|copyright|skip-?link\w*|toolbar|search\w*|form)(?=$|[\s_\d-])",
+    r"(?:ad|ads|adv|advert\w*|adsense|adbox|adslot|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|gdpr|notice\w*|notification\w*|alert\w*|popup|modal|overlay"
+    r"|newsletter|subscri\w*|signup|login|share|sharing|social\w*|related|recommend\w*|sidebar\w*|widget\w*|menu\w*|nav|navbar|navigation|breadcrumb\w*|pagination|pager"
+    r"|comment\w*|disqus\w*|respond|replies|reply|footer\w*|header|masthead|topbar|copyright|toolbar|search\w*|form)$",
     re.I,
 )
+PARTS = set(
+    "box list links link area block section container wrapper wrap bar posts articles content contents inner outer item items group row col column left right top bottom main slot unit panel text message"
+    " title heading label button buttons icon icons strip zone region toggle card cards feed count thread body head side skip".split()
+)
+
+
+def furniture(names: str) -> bool:
+    """Whether any of the class names and ids names page furniture."""
+    for name in names.lower().split():
+        words = [w for w in re.split(r"[\d_-]+", name) if w]
+        said = [w for w in words if w not in PARTS]
+        if said and (FURNITURE.match(said[-1]) if words[-1] == said[-1] else FURNITURE.match(said[0]) and all(map(FURNITURE.match, said))):
+            return True
+        if words in (["side", "bar"], ["skip", "link"], ["skip", "links"]):
+            return True
+    return False
+
+
 #: Wrappers of reader comments hold no article, however long.
 COMMENTS = re.compile(r"comment|disqus|respond|repl(?:y|ies)", re.I)
 #: Least share of a page's text that a container holds; that a wrapper named like furniture holds to be kept, by itself or
@@ -97,8 +115,25 @@ def _blocks(html: str, spared: set[int]) -> tuple[list[tuple[str, str, int]], se
             in_link -= stack.pop()[0] == "a"
 
     at, n = 0, len(html)
+    broken = False  # a tag ran to the end of the page: from there on quotes don't count, so that none is sought again
+
+    def tag_end(start: int) -> int:
+        """The place of the > that closes the tag, outside of quotes; -1 if there is none."""
+        nonlocal broken
+        i = start
+        while not broken:
+            i = _PLAIN.match(html, i).end()
+            if i < n and html[i] == ">":
+                return i
+            i = html.find(html[i], i + 1) + 1 if i < n else 0
+            broken = not i
+        return html.find(">", start)
+
     while at < n:
         m = _TOKEN.search(html, at)
+        end = tag_end(m.end()) if m and m["tag"] else -1
+        if m and m["tag"] and end < 0:
+            m = None  # no tag closes any more: the rest is text
         piece = html[at : m.start() if m else n]
         if piece and not (stack and stack[-1][2]):
             text.append(piece)
@@ -108,14 +143,15 @@ def _blocks(html: str, spared: set[int]) -> tuple[list[tuple[str, str, int]], se
             named[stack[-1][3]][0] += len(piece.strip())
         if not m:
             break
-        at = m.end()
-        if raw := m["raw"]:
-            end = _RAW_END[raw.lower()].search(html, at)
-            at = end.end() if end else n
-            continue
         if not m["tag"]:
+            at = m.end()
+            continue
+        at = end + 1
+        tag, given = m["tag"].lower(), html[m.end() : end]
+        if tag in RAW and not m["close"]:
+            over = RAW[tag].search(html, at)
+            at = over.end() if over else n
             continue
-        tag = m["tag"].lower()
         if m["close"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
@@ -138,22 +174,24 @@ def _blocks(html: str, spared: set[int]) -> tuple[list[tuple[str, str, int]], se
                 keep -= 1
             pop(keep)
         around, by_name = bool(stack and stack[-1][2]), False
-        dropped = around or tag in DROPPED
+        # An article's own header holds its heading.
+        own_header = tag == "header" and any(t in ("article", "main") for t, *_ in stack)
+        dropped = around or (tag in DROPPED and not own_header)
         step = tag
-        if "=" in m["attrs"] or "hidden" in m["attrs"]:
-            attrs = {a.lower(): x or y or z or "" for a, x, y, z in _ATTR.findall(m["attrs"])}
+        if "=" in given or "hidden" in given:
+            attrs = {a.lower(): x or y or z or "" for a, x, y, z in _ATTR.findall(given)}
             names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
             if tag not in ("html", "body", "article", "main"):
                 dropped = dropped or attrs.get("role", "").lower() in ROLES
                 dropped = dropped or "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "")
-                by_name = not dropped and m.start() not in spared and bool(FURNITURE.search(names))
+                by_name = not dropped and m.start() not in spared and furniture(names)
                 if by_name:
                     named[m.start()] = [0, False, bool(COMMENTS.search(names))]
             first = attrs.get("class", "").split()[:1] or attrs.get("id", "").split()[:1]
             step = f"{tag}.{_DIGITS.sub('#', first[0].lower())}" if first else tag
-        if not m["attrs"].endswith("/") or tag in BLOCK:
+        if not given.endswith("/") or tag in BLOCK:
             # Inside of what is dropped for its name, only that counts; other reasons drop what they hold for good.
-            own = tag in DROPPED or (dropped and not around)
+            own = (tag in DROPPED and not own_header) or (dropped and not around)
             place = m.start() if by_name else stack[-1][3] if around and not own else -1
             if place >= 0 and tag in ("h1", "main"):
                 named[place][1] = True
@@ -219,25 +257,21 @@ def extract(found: list[tuple[str, str, int]], container: str | None) -> str:
     return "\n".join(t for p, t, _ in found if container is not None and within(p, container))
 
 
-def _votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with their blocks, and the container that each votes for."""
     for batch in batches:
-        total: dict[tuple[str, str], int] = defaultdict(int)
-        for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            path = best(container_scores(blocks(html.as_py() or "")))
-            if path is not None:
-                total[host, path] += 1
-        keys = list(total)
+        every = [blocks(html.as_py() or "") for html in batch.column(3)]
+        found = [[{"path": p, "text": t, "links": n} for p, t, n in x] for x in every]
+        kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string()), ("links", pa.int32())]))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([total[k] for k in keys], pa.int64())],
-            ["host", "path", "votes"],
-        )
+            [*batch.columns[:3], pa.array([best(container_scores(x)) for x in every], pa.string()), pa.array(found, kind)], ["id", "url", "host", "vote", "blocks"]
+        )
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
     """(host, paths): each host's containers by falling votes; ties go by name. Those of a single vote say nothing of
     other pages, and their own page finds them by itself."""
-    votes = pages.select("host", "html").mapInArrow(_votes, "host string, path string, votes bigint")
-    summed = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes")).where("votes > 1")
+    summed = pages.where("vote is not null").groupBy("host", F.col("vote").alias("path")).agg(F.count("*").alias("votes")).where("votes > 1")
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("votes"), "path")))
     return summed.groupBy("host").agg(F.transform(ordered, lambda x: x["path"]).alias("paths"))
 
@@ -250,7 +284,7 @@ def _with_container(rows: DataFrame) -> DataFrame:
     if size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(paths), "host", "left")
     salted = paths.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    spread = rows.withColumn("salt", F.pmod(F.xxhash64("url", "html"), F.lit(SALTS)).cast("int"))
+    spread = rows.withColumn("salt", F.pmod(F.xxhash64("url", "id"), F.lit(SALTS)).cast("int"))
     return spread.join(salted, ["host", "salt"], "left")
 
 
@@ -262,18 +296,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
     ends a block as a paragraph does. Whole pages are read and nothing is cut off.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
-    rows = pages.select(F.col(id_col).alias("id"), "url", "html", host.alias("host"))
-    joined = _with_container(rows).select("id", "url", "html", "host", "paths")
     kind = pages.schema[id_col].dataType.simpleString()
+    rows = pages.select(F.col(id_col).alias("id"), "url", host.alias("host"), "html")
+    # Each page is parsed once; its blocks, mostly its text, are written.
+    rows = written(rows.mapInArrow(_parsed, f"id {kind}, url string, host string, vote string, blocks array<struct<path:string,text:string,links:int>>"), "blocks")
+    joined = _with_container(rows).select("id", "url", "host", "paths", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, containers = [], []
-            for h, paths in zip(batch.column(2), batch.column(4), strict=True):
-                found = blocks(h.as_py() or "")
+            for paths, held in zip(batch.column(3), batch.column(4), strict=True):
+                found = [(x["path"], x["text"], x["links"]) for x in held.as_py()]
                 containers.append(chosen(found, paths.as_py()))
                 texts.append(extract(found, containers[-1]))
-            cols = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column(3), pa.array(containers, pa.string())]
+            cols = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), batch.column(2), pa.array(containers, pa.string())]
             yield pa.RecordBatch.from_arrays(cols, [id_col, "url", "text", "n_chars", "host", "container"])
 
     return joined.mapInArrow(run, f"`{id_col}` {kind}, url string, text string, n_chars bigint, host string, container string")
