@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, written
+from .common import remove, salted_join, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link each node's neighbours to the smallest of them and itself: the larger ones (large) or the smaller ones."""
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else edges
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    kept = both.join(least, "a")
+    kept = salted_join(both, least, ["a"], F.xxhash64("b")) if large else both.join(least, "a")
     if large:
         out = kept.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

@@ -1,9 +1,10 @@
 """SimHash near-duplicates: every pair of fingerprints within the radius, found by tiled exclusive-or and bit counts.
 
-Distinct fingerprints lie in cells by the bit counts of their halves (at most 33 x 33 cells whatever the input), cells
-are cut into tiles of bounded size, and two tiles meet only if their bit counts allow a distance within the radius:
-sum |count difference| is a lower bound of the Hamming distance. Within a pair of tiles numpy compares all, and a
-spanning forest of the links leaves the task, so that a large group of near copies gives no square of links.
+Two fingerprints that differ in at most RADIUS bits agree in one of RADIUS + 1 stretches of their bits; so distinct
+fingerprints meet in cells by stretch and its value (at most RADIUS + 1 times 2**13 cells whatever the input). A cell of
+more than a tile is cut by bit count, and two of its tiles meet only if their bit counts allow a distance within the
+radius. Within a tile, or a pair of tiles, numpy compares all whose bit counts allow it, and a spanning forest of the
+links leaves the task, so that a large group of near copies gives no square of links.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import salted_join, written
 from .graph import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -98,14 +99,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def links_between(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links among a (b is None) or between a and b. All pairs are compared."""
+    # By bit count, so that most blocks are too far apart to compare.
+    order = lambda x: x[np.argsort(np.bitwise_count(x), kind="stable")]
+    a, b = order(a), b if b is None else order(b)
     nodes = a if b is None else np.concatenate([a, b])
     there, offset = (a, 0) if b is None else (b, len(a))
+    ones, ones2 = (np.bitwise_count(x).astype(np.int64) for x in (a, there))
     label = np.arange(len(nodes))
     left, right = [], []
     for i in range(0, len(a), 64):
         for j in range(0, len(there), 4096):
             if b is None and j + 4096 <= i:
                 continue
+            if ones2[j] - ones[min(i + 64, len(a)) - 1] > radius or ones[i] - ones2[min(j + 4096, len(there)) - 1] > radius:
+                continue
             near = np.bitwise_count(a[i : i + 64, None] ^ there[None, j : j + 4096]) <= radius
             u, v = np.nonzero(near)
             u, v = u + i, v + j + offset
@@ -129,34 +136,32 @@ def links_between(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS) ->
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
+def stretches(radius: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of the radius + 1 stretches of 64 bits."""
+    cut = [64 * i // (radius + 1) for i in range(radius + 2)]
+    return [(a, b - a) for a, b in zip(cut, cut[1:], strict=False)]
+
+
 def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
     """(a, b): links between distinct fingerprints (column fp), enough of them to join whatever all links join."""
-    lo, hi = F.bit_count(F.col("fp").bitwiseAND(0xFFFFFFFF)).cast("int"), F.bit_count(F.shiftrightunsigned("fp", 32)).cast("int")
-    cells = prints.select("fp", lo.alias("lo"), hi.alias("hi"))
-    # At most 33 * 33 rows: the only thing about all fingerprints that reaches the driver.
-    sizes = {(r["lo"], r["hi"]): -(-r["n"] // tile) for r in cells.groupBy("lo", "hi").agg(F.count("*").alias("n")).collect()}
-    spark = prints.sparkSession
-    near = [
-        (*x, n, *y, m)
-        for x, n in sizes.items()
-        for y, m in sizes.items()
-        if y >= x and abs(x[0] - y[0]) + abs(x[1] - y[1]) <= radius
-    ]
-    near = F.broadcast(spark.createDataFrame(near, "lo int, hi int, n int, lo2 int, hi2 int, n2 int"))
-    own = F.broadcast(spark.createDataFrame([(*x, n) for x, n in sizes.items()], "lo int, hi int, n int"))
-    tiles = (
-        cells.join(own, ["lo", "hi"])
-        .withColumn("t", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
-        .groupBy("lo", "hi", "t")
-        .agg(F.collect_list("fp").alias("fps"))
-    )
-    tiles = written(tiles, "tiles")
-    to = tiles.join(near, ["lo", "hi"]).withColumn("t2", F.explode(F.sequence(F.lit(0), F.col("n2") - 1)))
-    same_cell = (F.col("lo") == F.col("lo2")) & (F.col("hi") == F.col("hi2"))
-    to = to.where(~same_cell | (F.col("t2") >= F.col("t")))
-    other = tiles.select(F.col("lo").alias("lo2"), F.col("hi").alias("hi2"), F.col("t").alias("t2"), F.col("fps").alias("fps2"))
-    pairs = to.join(other.hint("shuffle_hash"), ["lo2", "hi2", "t2"]).select("fps", F.when(~(same_cell & (F.col("t") == F.col("t2"))), F.col("fps2")).alias("fps2"))
-    pairs = pairs.repartition(3 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    value = [F.shiftrightunsigned("fp", at).bitwiseAND((1 << n) - 1) for at, n in stretches(radius)]
+    cells = prints.select("fp", F.bit_count("fp").cast("int").alias("ones"), F.posexplode(F.array(*value)).alias("stretch", "value"))
+    # The cells are few whatever the input; only those of more than a tile are counted by their bits too.
+    big = F.broadcast(cells.groupBy("stretch", "value").agg(F.count("*").alias("n")).where(F.col("n") > tile).select("stretch", "value", F.lit(True).alias("big")))
+    cells = cells.join(big, ["stretch", "value"], "left").withColumn("ones", F.when(F.col("big"), F.col("ones")).otherwise(-1)).drop("big")
+    sizes = cells.where("ones >= 0").groupBy("stretch", "value", "ones").agg(F.ceil(F.count("*") / tile).cast("int").alias("n"))
+    sizes = F.broadcast(sizes)
+    placed = cells.join(sizes, ["stretch", "value", "ones"], "left").withColumn("t", F.pmod(F.xxhash64("fp"), F.coalesce("n", F.lit(1))).cast("int"))
+    tiles = written(placed.groupBy("stretch", "value", "ones", "t").agg(F.collect_list("fp").alias("fps")).where((F.col("ones") >= 0) | (F.size("fps") > 1)), "tiles")
+    alone = tiles.select("fps", F.lit(None).cast("array<bigint>").alias("fps2"))
+    split = tiles.where("ones >= 0")
+    others = sizes.select("stretch", "value", F.col("ones").alias("ones2"), F.col("n").alias("n2"))
+    # Pairs of tiles of one cell: later ones of the same bit count, all of the next few.
+    to = split.join(others, ["stretch", "value"]).where(F.col("ones2").between(F.col("ones"), F.col("ones") + radius))
+    to = to.withColumn("t2", F.explode(F.sequence(F.lit(0), F.col("n2") - 1))).where("ones2 > ones or t2 > t")
+    other = split.select("stretch", "value", F.col("ones").alias("ones2"), F.col("t").alias("t2"), F.col("fps").alias("fps2"))
+    pairs = to.join(other.hint("shuffle_hash"), ["stretch", "value", "ones2", "t2"]).select("fps", "fps2")
+    rows = alone.unionByName(pairs).repartition(3 * int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +171,7 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
                 u, v = links_between(a, b, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["a", "b"])
 
-    return pairs.mapInArrow(compare, "a bigint, b bigint")
+    return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -181,7 +186,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     joined = components(links(nodes, radius))
     own = nodes.join(joined, nodes.fp == joined.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("c"))
     names = own.groupBy("c").agg(F.min("least").alias("component_id"))
-    named = own.join(names, "c").select("fp", "component_id")
-    return prints.join(named, "fp").select(
+    named = salted_join(own, names, ["c"], F.col("fp")).select("fp", "component_id")
+    return salted_join(prints, named, ["fp"], F.xxhash64("id")).select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
