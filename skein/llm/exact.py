@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import salted_join, written
 
 P = (1 << 31) - 1
 BASES = (1_103_515_245, 1_664_525_013)
@@ -144,7 +144,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     prints = prints.withColumn("key", F.struct("h1", "h2", "size") if key is None else F.struct(key.cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"), F.lit(0).cast("bigint").alias("size")))
     order = F.struct(F.col("id"), F.col("sha"))  # nulls are least in a struct
     groups = prints.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("members"), F.sum("n").alias("group_size"))
-    pairs = prints.join(groups, "key").select("id", "sha", "n", "key", "first", "members", "group_size")
+    # Most rows are alone; a large group's rows are joined in several tasks.
+    several = salted_join(prints, groups.where("members > 1"), ["key"], F.xxhash64("id", "sha"), "left")
+    pairs = several.select(
+        "id", "sha", "n", "key", F.coalesce("first", order).alias("first"), F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("group_size", "n").alias("group_size")
+    )
     differing = _differing(docs, pairs.where("members > 1"), id_col, text_col)
     again = written(differing, "differing")
     if again.isEmpty():
