@@ -132,8 +132,11 @@ def template_matches(docs: DataFrame) -> DataFrame:
     """(id, text, label, template, at, score): the best alignment of each template that a text holds; docs(id, text, words),
     where text is a hash of the words. Rows that repeat a text change nothing: positions are collected in masks."""
     spark = docs.sparkSession
-    index = F.broadcast(spark.createDataFrame(postings(), "word string, template int, label string, pos int, share double, rare boolean"))
-    shares = F.broadcast(spark.createDataFrame([(i, [x[4] for x in postings() if x[1] == i]) for i in range(len(TEMPLATES))], "template int, shares array<double>"))
+    row = lambda **x: F.struct(*(F.lit(v).alias(k) for k, v in x.items()))
+    every = postings()
+    index = F.broadcast(spark.range(1).select(F.inline(F.array(*(row(word=w, template=i, label=name, pos=k, share=x, rare=rare) for w, i, name, k, x, rare in every)))))
+    weights = [F.struct(F.lit(i).alias("template"), F.array(*(F.lit(x[4]) for x in every if x[1] == i)).alias("shares")) for i in range(len(TEMPLATES))]
+    shares = F.broadcast(spark.range(1).select(F.inline(F.array(*weights))))
     places = docs.select("id", "text", F.posexplode(F.split(F.substring("words", 2, 2_000_000_000), " ")).alias("at", "word"))
     hits = places.join(index, "word")
     bit = F.expr(f"shiftleft(1L, int(pos % {MASK}))")
