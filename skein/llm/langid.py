@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-#: Labelled documents fitted on at most, bytes of a document among them at most; both bound the driver's memory.
-SAMPLE, SAMPLE_BYTES = 1_500, 1 << 20
+#: Labelled documents fitted on at most, and their bytes at most (one document of each label may come on top); labels
+#: learned at most, the most frequent ones. They bound the driver's memory and what goes to the tasks.
+SAMPLE, SAMPLE_BYTES, LABELS = 1_500, 48 << 20, 100
 BUCKETS, EPOCHS, RATE, DECAY = 1 << 16, 6, 0.3, 1e-6
 #: Words in a chain at most (a longer line goes on in a next chain); padded words in a batch of chains.
 CHAIN, PADDED = 4096, 100_000
@@ -226,27 +227,33 @@ def learning_rows(docs: DataFrame, id_col: str, text_col: str, label_col: str, r
     with their whole texts. A quarter of the limit is dealt out evenly by label, the rest in proportion.
 
     Rows are counted without their texts first, so that only texts below their label's hash threshold, about 5/4 of its
-    share, leave the executors, however large the table is. Of a table whose rows mostly repeat one id, any of these may
-    come.
+    share, are looked at, however large the table is; of these, SAMPLE_BYTES at most leave the executors. Rows that
+    repeat both id and text count once.
     """
-    usable = F.col(text_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_BYTES)
     kept = docs.where(rule & F.col(label_col).isNotNull())
-    count = {r["lang"]: r["count"] for r in kept.groupBy(F.col(label_col).alias("lang")).count().collect()}
+    counts = kept.groupBy(F.col(label_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LABELS).collect()
+    count = {r["lang"]: r["count"] for r in counts}
     if not count:
         return []
     least, total = max(1, limit // (4 * len(count))), sum(count.values())
     quota = {x: least + int(max(0, limit - least * len(count)) * n / total) for x, n in count.items()}
     # Some rows more than the share, so that a small one isn't missed by chance.
     below = [(x, int(min(1.0, (1.25 * quota[x] + 20) / n) * (1 << 40))) for x, n in count.items()]
-    thresholds = F.broadcast(docs.sparkSession.createDataFrame(below, "of_lang string, below bigint"))
-    rows = kept.select(F.pmod(F.xxhash64(id_col), F.lit(1 << 40)).alias("h"), F.col(text_col).alias("text"), F.col(label_col).alias("lang"), usable.alias("usable"))
-    rows = rows.join(thresholds, rows["lang"] == F.col("of_lang")).where("h < below and usable").limit(2 * limit + 40 * len(count))
-    out, held = [], dict.fromkeys(count, 0)
-    for r in sorted(rows.select("h", "text", "lang").collect(), key=lambda r: (r["h"], r["lang"], r["text"])):
-        if held[r["lang"]] < quota[r["lang"]]:
+    spark = docs.sparkSession
+    thresholds = F.broadcast(spark.createDataFrame(below, "of_lang string, below bigint"))
+    rows = kept.where(F.col(text_col).isNotNull()).select(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 40)).alias("h"), F.octet_length(text_col).alias("size"), F.col(text_col).alias("text"), F.col(label_col).alias("lang"))
+    rows = rows.join(thresholds, rows["lang"] == F.col("of_lang")).where("h < below")
+    # First which ones, by the sizes alone; rows that repeat both id and text count once.
+    found = rows.groupBy("lang", "h").agg(F.min("size").alias("size")).orderBy("h", "lang").limit(4 * limit + 80 * len(count)).collect()
+    held, room, chosen = dict.fromkeys(count, 0), SAMPLE_BYTES, []
+    for r in found:
+        if held[r["lang"]] < quota[r["lang"]] and (not held[r["lang"]] or r["size"] <= room):
             held[r["lang"]] += 1
-            out.append((r["text"], r["lang"]))
-    return out
+            room -= r["size"]
+            chosen.append((r["lang"], r["h"]))
+    wanted = F.broadcast(spark.createDataFrame(chosen, "c_lang string, c_h bigint"))
+    texts = rows.join(wanted, (F.col("lang") == F.col("c_lang")) & (F.col("h") == F.col("c_h"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    return [(r["text"], r["lang"]) for r in sorted(texts.collect(), key=lambda r: (r["h"], r["lang"]))]
 
 
 def identify(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
