@@ -44,6 +44,37 @@ def test_licences(spark):
     assert licences.scan_licences(frame(spark, [])).count() == 0
 
 
+def test_licences_by_brute_force(spark):
+    """Every alignment of every template, one by one, over edited, joined and repeated notices."""
+    rng = random.Random(5)
+    texts = [t for _, t, _ in licences.TEMPLATES]
+    rows = [(1, " x ".join(texts)), (2, "redistribution and use in source and binary forms must retain"), (2, "redistribution and use in source and binary forms must retain"), (3, None), (None, texts[0]), (None, "none")]
+    for i in range(60):
+        words = " ".join(rng.choice(texts) for _ in range(rng.randrange(1, 4))).split()
+        rows.append((100 + i % 50, " ".join(w if rng.random() > 0.12 else rng.choice(["x", "", rng.choice(words)]) for w in words)))
+    weight = {(i, k): share for _, i, _, k, share, _ in licences.postings()}
+    got = licences.scan_licences(frame(spark, rows)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(i) for i, _ in rows)
+    want = []
+    for i, text in rows:
+        w, labels, scores = (text or "").split(), set(), [0.0]
+        flat = f" {' '.join(w)} "
+        for n, (label, template, keys) in enumerate(licences.TEMPLATES):
+            t = template.split()
+            best = max(sum(weight[n, k] for k in range(len(t)) if 0 <= at + k < len(w) and w[at + k] == t[k]) for at in range(-len(t), len(w) + 1))
+            if best >= licences.LEAST - 1e-9 and all(f" {k} " in flat for k in keys):
+                labels.add(label)
+                scores.append(best)
+        base = {label for phrase, label in licences.BASE.items() if f" {phrase} " in flat}
+        want.append((str(i), ",".join(sorted(labels | base)), round(1.0 if base else min(1.0, max(scores)), 6)))
+    assert sorted((str(r["doc_id"]), r["labels"], round(r["score"], 6)) for r in got) == sorted(want)
+    assert {x for x in want[0][1].split(",")} >= {label for label, _, _ in licences.TEMPLATES}
+
+
+def test_anchors():
+    assert all(any(a in k.split() for k in keys for a in licences.anchors()) for _, _, keys in licences.TEMPLATES)
+
+
 def test_licence_in_a_file_of_many_licence_words(spark):
     every = " ".join(sorted({w for _, t, _ in licences.TEMPLATES for w in t.split()} - {"gnu", "lesser", "general"}))
     named = {label: text for label, text, _ in licences.TEMPLATES}
@@ -78,6 +109,9 @@ def test_chats(spark):
         r = got[c]
         assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == (len(ts), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()), (c, ts)
     assert chat.format_conversations(df.limit(0)).count() == 0
+    long = spark.createDataFrame([(1, 0, "user", "a\\<|é" * 400_000), (1, 1, "assistant", "b|>\n" * 300_000)], "conv_id int, turn int, role string, text string")
+    (r,) = chat.digest(chat.format_conversations(long)).collect()
+    assert (r["n_turns"], r["loss_chars"], r["loss_sha256"]) == (2, 1_200_000, hashlib.sha256(("b|>\n" * 300_000).encode()).hexdigest())
     one = chat.format_conversations(df.where("conv_id = 51")).first()
     assert one["formatted"] == "<|assistant|>\na<|sep|>a<|end|>\n"
 
@@ -128,15 +162,17 @@ def test_forward_backward_by_enumeration():
     marginal, pairs, log_z = langid.forward_backward(scores, lengths, trans, start)
     total = np.zeros((3, 3))
     for c, n in enumerate(lengths):
-        z, m = 0.0, np.zeros((n, 3))
+        z, m, both = 0.0, np.zeros((n, 3)), np.zeros((3, 3))
         for y in product(range(3), repeat=int(n)):
             p = math.exp(start[y[0]] + sum(scores[i, c, y[i]] for i in range(n)) + sum(trans[y[i], y[i + 1]] for i in range(n - 1)))
             z += p
             for i in range(n):
                 m[i, y[i]] += p
+                if i:
+                    both[y[i - 1], y[i]] += p
         assert np.allclose(marginal[:n, c], m / z) and math.isclose(log_z[c], math.log(z))
-        total += sum(np.outer(marginal[i, c], marginal[i + 1, c]) * 0 for i in range(n - 1)) if n > 1 else 0
-    assert math.isclose(pairs.sum(), sum(n - 1 for n in lengths))
+        total += both / z
+    assert np.allclose(pairs, total)
 
 
 def test_decontamination(spark, sf):
@@ -253,6 +289,42 @@ def test_whole_articles(spark):
     assert got[3] == f"{(long + long).strip()}\n{text}" and got[20] == text and got[10] == text
 
 
+def test_pages_by_brute_force(spark, sf):
+    """The query against votes and choices made page after page."""
+    from collections import Counter
+
+    from skein.llm.queries import op5_html_text
+
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    host = lambda url: url.split("/")[2].lower()
+    votes = {}
+    for p in pages:
+        path = html.best(html.container_scores(html.blocks(p["html"] or "")))
+        if path is not None:
+            votes.setdefault(host(p["url"]), Counter())[path] += 1
+    want = {}
+    for p in pages:
+        found, paths = html.blocks(p["html"] or ""), votes.get(host(p["url"]), {})
+        own = html.chosen(found, [x for x in sorted(paths, key=lambda x: (-paths[x], x)) if paths[x] > 1])
+        want[p["page_id"]] = "\n".join(t for path, t, _ in found if own is not None and html.within(path, own))
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in op5_html_text(spark, sf).collect()}
+    assert got == {k: (t, len(t)) for k, t in want.items()}
+
+
+def test_odd_markup():
+    import time
+
+    long = "Words of the article, and more of them. " * 9
+    own = lambda h: [t for _, t, _ in html.blocks(h)]
+    assert own(f"<article><header><h1>Head</h1><nav>menu</nav></header><p>{long}</p></article>") == ["Head", long.strip()]
+    assert own(f"<header><h1>Site</h1></header><div class='related-work'><p>{long}</p></div><div class='related posts-list'>r</div><div id=notice-period>n</div>") == [long.strip(), "n"]
+    assert own('<p title="a>b">x</p><p class=\'c>d\'>y < z</p>') == ["x", "y < z"]
+    for piece in ('<a title="x ', "<a <b ", "<p class='", "<a<a", "<script "):
+        began = time.time()
+        html.blocks(f"<p>text</p>{piece * 90_000}")
+        assert time.time() - began < 5
+
+
 def test_many_hosts(spark, monkeypatch):
     df = spark.createDataFrame([(i, f"http://h{i % 3}/{i}", PAGE) for i in range(12)], "page_id int, url string, html string")
     few = sorted(map(tuple, html.main_text(df).collect()))
