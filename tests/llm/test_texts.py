@@ -441,25 +441,97 @@ def test_stirling():
                 assert math.isclose(s[c + 1, t], s[c, t - 1] + max(0, c - t * d) * s[c, t], rel_tol=1e-9)
 
 
+def some_words(seed, words=20, common=3):
+    """Seated words of two classes with frequent words among contexts and words, and totals that add up."""
+    rng = np.random.default_rng(seed)
+    hashes = np.sort(rng.integers(1, 1 << 62, common).astype(np.uint64))
+    contexts = pylm.Contexts(hashes, np.array([257, 257, 513])[:common], np.zeros(common, np.int64))
+    ids = np.concatenate([contexts.of_class[[0, 257, 258, 513]], contexts.of_word])
+    key = np.unique(rng.integers(0, words, 80) * contexts.size + rng.choice(ids, 80))
+    places = np.full(words, -1)
+    places[:common] = np.arange(common)
+    return pylm.Words(key // contexts.size, key % contexts.size, rng.integers(1, 200, len(key)), places, contexts), ids, rng
+
+
+def totals_of(w, size, rng, before=None):
+    totals = pylm.Totals(w.kind.size, len(w.kind.frequent))
+    if before is not None:
+        totals.t0, totals.d, totals.s = before.t0, before.d, before.s
+    w.add_to(totals)
+    totals.seat_frequent(size, rng)
+    return totals
+
+
 def test_probabilities_sum_to_one():
-    rng = np.random.default_rng(1)
-    key = np.unique(rng.integers(0, 20, 60) * 65536 + rng.integers(0, 3, 60) * 256 + rng.integers(0, 2, 60))
-    w = pylm.Words(key // 65536, key % 65536, rng.integers(1, 200, len(key)), 20)
-    size = 21
-    totals = pylm.Totals()
-    for _ in range(3):
-        for level, (at, c, t) in enumerate(((np.zeros(20, np.int64), w.c0, w.t0), (w.parent, w.c1, w.t1), (w.context, w.n, w.t2))):
-            totals.customers[level] = np.bincount(at, c, len(totals.customers[level])).astype(np.int64)
-            totals.tables[level] = np.bincount(at, t, len(totals.tables[level])).astype(np.int64)
-        for context in (0, 257, 513):
-            p = w.probabilities(totals, size, np.arange(20), np.full(20, context))[2]
-            unknown = 1.0
-            for level, k in ((2, context), (1, context >> 8), (0, 0)):
-                d, s = pylm.DISCOUNT[level], pylm.STRENGTH[level]
+    w, ids, rng = some_words(1)
+    size, totals = 21, None
+    for _ in range(4):
+        totals = totals_of(w, size, rng, totals)
+        for context in ids:
+            p = w.predictive(totals, size, np.arange(20), np.full(20, context))
+            klass = int(w.kind.klass[context])
+            unknown = 1 / size
+            for level, k in ((0, 0), (1, klass >> 8), (2, klass), *([(3, context)] if w.kind.is_word[context] else [])):
+                d, s = totals.d[level], totals.s[level]
                 unknown *= (s + d * totals.tables[level][k]) / (s + totals.customers[level][k])
-            assert math.isclose(p.sum() + unknown / size, 1, rel_tol=1e-9)
+            assert math.isclose(p.sum() + unknown, 1, rel_tol=1e-9)
         w.seat(totals, size, rng)
-        assert (w.t2 >= 1).all() and (w.t2 <= w.n).all() and (w.t1 <= w.c1).all() and (w.t0 <= w.c0).all()
+        assert (w.t3[w.sits] >= 1).all() and (w.t3 <= w.n).all() and (w.t2 <= w.c2).all() and (w.t1 <= w.c1).all() and (w.t0 <= w.c0).all()
+        totals.draw_parameters(rng)
+        assert all(d in pylm.DISCOUNTS for d in totals.d) and all(x in pylm.STRENGTHS for x in totals.s)
+
+
+def test_draws_follow_their_conditional():
+    """Tables against the exact conditional, and the limit of many customers against it where both can be had."""
+    rng = np.random.default_rng(2)
+    for d, theta, others, base in ((0.5, 1.0, 3.0, 0.2), (0.8, 5.0, 40.0, 0.02)):
+        for c in (2, 7, 30):
+            k = np.arange(1, c + 1)
+            logp = pylm.log_stirling(d)[c, 1 : c + 1] + np.cumsum(np.log(theta + d * (others + k - 1))) + k * np.log(base)
+            want = np.exp(logp - logp.max())
+            want /= want.sum()
+            n = 40_000
+            got = np.bincount(pylm.draw_tables(np.full(n, c), np.full(n, others), np.full(n, base), d, theta, rng), minlength=c + 1)[1:] / n
+            assert np.abs(got - want).sum() < 0.03
+        c = 400
+        s = pylm.log_stirling(d, c)
+        k = np.arange(1, c + 1)
+        logp = s[c, 1:] + np.cumsum(np.log(theta + d * (others + k - 1))) + k * np.log(base)
+        want = np.exp(logp - logp.max())
+        mean = (want / want.sum()) @ k
+        got = pylm.draw_tables(np.full(n, c), np.full(n, others), np.full(n, base), d, theta, rng).mean()
+        assert abs(got - mean) < 0.1 * mean
+
+
+def test_seating_logs_and_gamma():
+    x = np.array([0.3, 1.0, 2.5, 9.0, 1e6])
+    assert np.allclose(pylm.log_gamma(x), [math.lgamma(v) for v in x])
+    c, t = np.array([1, 3, 40]), np.array([1, 2, 11])
+    want = [sum(pylm.log_stirling(d)[a, b] for a, b in zip(c, t)) for d in pylm.DISCOUNTS]
+    assert np.allclose(pylm.seating_logs(c, t), want)
+
+
+def test_parameters_are_found():
+    """Restaurants seated by the process itself, a dish for each table, give back discount and strength."""
+    rng = np.random.default_rng(3)
+    for d, s in ((0.8, 1.0), (0.2, 12.0)):
+        totals, sizes = pylm.Totals(pylm.CLASSES, 0), []
+        for k in range(200):
+            tables = []
+            for i in range(80):
+                u = rng.random() * (i + s)
+                for j, n in enumerate(tables):
+                    u -= n - d
+                    if u < 0:
+                        tables[j] += 1
+                        break
+                else:
+                    tables.append(1)
+            totals.customers[2][k], totals.tables[2][k] = 80, len(tables)
+            sizes += tables
+        totals.logs[2] = pylm.seating_logs(np.array(sizes), np.ones(len(sizes), np.int64))
+        totals.draw_parameters(rng)
+        assert abs(totals.d[2] - d) <= 0.16 and s / 3 <= totals.s[2] <= s * 3
 
 
 def test_scores(spark, sf):
@@ -486,7 +558,22 @@ def test_scores(spark, sf):
     assert pylm.score_texts(docs, F.lit(True)).where("n_known > 0").count() == 0
 
 
-def test_context_classes():
-    ids, context = pylm.tokens(b"ab C\n\xc3\xa9")
-    assert len(ids) == 4 and ids[-1] == pylm.END
-    assert context.tolist() == [0, 256 * ord("b") + ord("a"), 256 * ord("c"), 256 * 0xA9 + 0xC3]
+def test_repeated_rows_and_ids_as_text(spark):
+    rows = [("a", "one two three"), ("a", "one two three"), ("b", "one two"), (None, "two"), (None, None), ("c", "one two three")]
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id string, text string, n int")
+    got = pylm.score_texts(df, F.col("doc_id").eqNullSafe(F.lit("c"))).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got) == sorted((str(i), len((t or "").split()) + 1) for i, t in rows)
+    assert {r["train_tokens"] for r in got} == {4 + 4 + 3 + 2 + 1}
+    twice = [r for r in got if r["doc_id"] == "a"]
+    assert twice[0]["score"] == twice[1]["score"] and math.isclose(twice[0]["base_score"], next(r["base_score"] for r in got if r["doc_id"] == "c"))
+
+
+def test_contexts():
+    ids, classes = pylm.words_of(b"ab C\n\xc3\xa9")
+    assert classes.tolist() == [256 * ord("b") + ord("a"), 256 * ord("c"), 256 * 0xA9 + 0xC3]
+    order = np.argsort(np.append(ids[:1], np.uint64(pylm.END)))
+    both = np.append(ids[:1], np.uint64(pylm.END))[order]
+    c = pylm.Contexts(both, np.array([classes[0], 0])[order], np.array([1, 1]))
+    words, context = c.tokens(b"AB c x")
+    assert words[-1] == pylm.END and c.klass[context].tolist() == [0, classes[0], classes[1], 256 * ord("x")]
+    assert c.is_word[context].tolist() == [False, True, False, False] and c.place(words).tolist() == [int(np.flatnonzero(both == ids[0])[0]), -1, -1, int(np.flatnonzero(both == np.uint64(pylm.END))[0])]
