@@ -132,33 +132,33 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", huge: int = HUGE, key: Column | None = None) -> DataFrame:
-    """One row per document: (doc_id, keep_id, group_size, kept, text_sha256).
+    """One row per row of docs: (doc_id, keep_id, group_size, kept, text_sha256).
 
     Texts are equal if they are the same bytes after every run of ASCII white space became one space; a null text counts
-    as empty. The smallest id of a group stays. Rows that repeat both id and text give one row and count as often as
-    they occur in group_size; an id with different texts has a row for each; null ids sort first, as ids of their own.
-    Other columns are ignored; an empty table gives no rows. `key` overrides the fingerprint (tests force collisions).
+    as empty. The smallest id of a group stays, with all of its rows if it repeats; group_size counts rows. Null ids sort
+    first, as ids of their own. Other columns are ignored; an empty table gives no rows. `key` overrides the fingerprint
+    (tests force collisions).
     """
-    prints = fingerprints(docs, id_col, text_col, huge)
-    prints = written(prints.groupBy("id", "h1", "h2", "size", "sha").agg(F.count("*").alias("n")), "prints")
-    prints = prints.withColumn("key", F.struct("h1", "h2", "size") if key is None else F.struct(key.cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"), F.lit(0).cast("bigint").alias("size")))
+    rows = written(fingerprints(docs, id_col, text_col, huge), "prints")
+    rows = rows.withColumn("key", F.struct("h1", "h2", "size") if key is None else F.struct(key.cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"), F.lit(0).cast("bigint").alias("size")))
     order = F.struct(F.col("id"), F.col("sha"))  # nulls are least in a struct
-    groups = prints.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("members"), F.sum("n").alias("group_size"))
+    prints = rows.groupBy("key", "id", "sha").agg(F.count("*").alias("n"))
+    groups = prints.groupBy("key").agg(F.min(order).alias("first"), F.count("*").alias("members"), F.sum("n").alias("group_size")).where("group_size > 1")
+    groups = written(groups, "groups")
+    spread = F.xxhash64("id", "sha")
+    members = salted_join(prints, groups.where("members > 1"), ["key"], spread).select("id", "sha", "n", "key", "first", "members")
+    again = written(_differing(docs, members, id_col, text_col), "differing")
     # Most rows are alone; a large group's rows are joined in several tasks.
-    several = salted_join(prints, groups.where("members > 1"), ["key"], F.xxhash64("id", "sha"), "left")
-    pairs = several.select(
-        "id", "sha", "n", "key", F.coalesce("first", order).alias("first"), F.coalesce("members", F.lit(1)).alias("members"), F.coalesce("group_size", "n").alias("group_size")
-    )
-    differing = _differing(docs, pairs.where("members > 1"), id_col, text_col)
-    again = written(differing, "differing")
-    if again.isEmpty():
-        final = pairs
-    else:
+    final = salted_join(rows, groups, ["key"], spread, "left").select("id", "sha", F.coalesce("first", order).alias("first"), F.coalesce("group_size", F.lit(1)).alias("group_size"))
+    if not again.isEmpty():
         # Unequal texts under one fingerprint: these few get groups by the text itself.
-        own = pairs.join(again, on=[pairs.id.eqNullSafe(again.rid), pairs.sha == again.rsha], how="left")
+        own = members.join(again, on=[members.id.eqNullSafe(again.rid), members.sha == again.rsha], how="left")
         own = own.withColumn("group", F.struct("key", F.when(F.col("rsha").isNotNull(), F.col("text")).alias("text")))
-        regrouped = own.groupBy("group").agg(F.min(order).alias("first"), F.sum("n").alias("group_size"))
-        final = own.drop("first", "group_size").join(regrouped, on=own["group"].eqNullSafe(regrouped["group"]))
+        regrouped = own.groupBy(F.col("group").alias("g")).agg(F.min(order).alias("first"), F.sum("n").alias("group_size"))
+        own = own.select("id", "sha", "group").join(regrouped, F.col("group").eqNullSafe(F.col("g"))).select(F.col("id").alias("oid"), F.col("sha").alias("osha"), F.col("first").alias("ofirst"), F.col("group_size").alias("osize"))
+        final = final.join(own, final["id"].eqNullSafe(own["oid"]) & (final["sha"] == own["osha"]), "left").select(
+            "id", "sha", F.coalesce("ofirst", "first").alias("first"), F.coalesce("osize", "group_size").alias("group_size")
+        )
     return final.select(
         F.col("id").alias(id_col), F.col("first.id").alias("keep_id"), "group_size",
         F.col("id").eqNullSafe(F.col("first.id")).alias("kept"), F.col("sha").alias("text_sha256"),

@@ -35,7 +35,9 @@ def test_fingerprints_compose():
 def test_exact_duplicates(spark):
     rows = [(5, "a  b"), (3, "a\tb"), (9, None), (7, ""), (4, "a b "), (None, "a b"), (6, "A b"), (3, "a\tb"), (8, "x" * 50 + "\n\n" + "y" * 50), (2, "x" * 50 + " " + "y" * 50)]
     for huge in (exact.HUGE, 16):
-        got = {(r["doc_id"], r["text_sha256"]): r for r in exact.exact_duplicates(docs(spark, rows), huge=huge).collect()}
+        every = exact.exact_duplicates(docs(spark, rows), huge=huge).collect()
+        got = {(r["doc_id"], r["text_sha256"]): r for r in every}
+        assert len(every) == len(rows)
         sha = lambda t: hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", t or "").encode()).hexdigest()
         groups = {}
         for i, t in rows:
@@ -53,6 +55,14 @@ def test_equal_fingerprints_of_unequal_texts(spark):
     assert got == {i: (i % 3, 4) for i in range(12)}
 
 
+def test_large_groups_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(exact, "SPREAD", 3)
+    rows = [(i, f"text {i % 2} " + "x" * (exact.PIECE + 5)) for i in range(40)]
+    for key in (None, F.lit(1)):
+        got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact.exact_duplicates(docs(spark, rows), key=key).collect()}
+        assert got == {i: (i % 2, 20) for i in range(40)}
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7), (None, 3)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
