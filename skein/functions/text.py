@@ -157,13 +157,16 @@ def content_type(url: Column) -> Column:
 
 def host(url: Column) -> Column:
     """STR-26: host with port, without user data; '' if there is none."""
-    return F.regexp_replace(text(F.try_parse_url(url, F.lit("AUTHORITY"))), "^.*@", "")
+    return F.regexp_replace(F.regexp_extract(text(url), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1), "^.*@", "")
 
 
 def robots_path(url: Column) -> Column:
-    """STR-27: path with query, '/' if the path is empty."""
-    path, query = F.try_parse_url(url, F.lit("PATH")), F.try_parse_url(url, F.lit("QUERY"))
-    return F.concat(F.when(text(path) == "", "/").otherwise(path), F.when(query.isNotNull() & (query != ""), F.concat(F.lit("?"), query)).otherwise(""))
+    """STR-27: path, its escapes decoded, with the query as it stands; '/' if the path is empty. A path with a broken
+    escape stays as it is."""
+    parts = r"(?s)^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)(?:\?([^#]*))?"
+    path, query = F.regexp_extract(text(url), parts, 1), F.regexp_extract(text(url), parts, 2)
+    plain = F.coalesce(F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), path)
+    return F.concat(F.when(path == "", "/").otherwise(plain), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
 
 
 def year_prefix(date: Column) -> Column:

@@ -1,9 +1,11 @@
-"""The few Arrow UDFs: nested braces, character references, HTML tokens and address resolution (STR-17, 18, 25, HTML-01)."""
+"""The few Arrow UDFs: nested braces, character references, HTML tokens, address resolution, decompression (STR-17, 18, 25, HTML-01)."""
 
 from __future__ import annotations
 
+import gzip
 import html
 import re
+import zlib
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin
 
@@ -43,6 +45,46 @@ def strip_nested(c: Column, opening: str = "{{", closing: str = "}}") -> Column:
     return run(c)
 
 
+def template(s: str, openings: list[str]) -> str | None:
+    """From the first place of the first opening that is there, but for case, to the end of its nested braces."""
+    at = next((m.start() for o in openings if (m := re.search(re.escape(o), s, re.I))), None)
+    if at is None:
+        return None
+    depth = 0
+    for m in re.compile(r"\{\{|\}\}").finditer(s, at):
+        depth += 1 if m[0] == "{{" else -1
+        if not depth:
+            return s[at : m.end()]
+    return None
+
+
+def first_template(c: Column, openings: list[str]) -> Column:
+    """STR-22, the template itself."""
+
+    @F.pandas_udf(StringType())
+    def run(s: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else template(x, openings) for x in s], dtype=object)
+
+    return run(c)
+
+
+def _unpacked(data: bytes | None) -> str | None:
+    if data is None:
+        return None
+    if data[:2] == b"\x1f\x8b":
+        try:
+            data = gzip.decompress(data)
+        except (OSError, EOFError, zlib.error):
+            return None
+    return data.decode(errors="replace")
+
+
+@F.pandas_udf(StringType())
+def body_text(data: pd.Series) -> pd.Series:
+    """SRC-16: fetched bytes as text, decompressed if they are gzipped; null if that breaks off."""
+    return pd.Series([_unpacked(x) for x in data], dtype=object)
+
+
 @F.pandas_udf(StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     """STR-18: character references of the whole HTML5 table."""

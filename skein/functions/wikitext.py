@@ -8,33 +8,33 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import limited, none_if_empty, squeeze, strip, text
-from .udfs import html_unescape, strip_nested
-
-LINK = r"\[\[([^|\]]+?)(?:\|([^\]]+?))?\]\]"
+from .udfs import html_unescape, first_template, strip_nested
+
+#: The patterns of markup, in the order in which they are taken out, and what stays of each.
+MARKUP = [
+    (r"(?s)\{\|.*?\|\}", ""),
+    (r"\[\[Category:[^\]]*\]\]", ""),
+    (r"\[\[(?:File|Image):[^\]]*\]\]", ""),
+    (r"\[\[[^\[\]]*?\|([^\[\]]*?)\]\]", "$1"),
+    (r"\[\[([^\[\]|]*?)\]\]", "$1"),
+    (r"(?dm)^={2,6}\s*(.+?)\s*={2,6}\s*$", "$1"),
+    (r"(?d)'''(.*?)'''", "$1"),
+    (r"(?d)''(.*?)''", "$1"),
+    (r"\[https?://[^\s\]]+\s+([^\]]+)\]", "$1"),
+    (r"\[https?://[^\s\]]+\]", ""),
+    (r"__[A-Z]+__", ""),
+    (r"<[^>]+>", ""),
+]
 
 
 def strip_wikitext(c: Column, compat: bool = False) -> Column:
     """STR-16: plain text. Self-closing references go first; compat removes reference blocks first, so that a
     self-closing one swallows what stands before the next end."""
-    single, block = r"(?i)<ref[^>]*/\s*>", r"(?is)<ref[^>]*>.*?</ref>"
+    single, block = r"<ref[^>]*/>", r"(?s)<ref[^>]*>.*?</ref>"
     rules = [(r"(?s)<!--.*?-->", ""), *([(block, ""), (single, "")] if compat else [(single, ""), (block, "")])]
     out = reduce(lambda a, r: F.regexp_replace(a, *r), rules, text(c))
-    out = strip_nested(strip_nested(out, "{{", "}}"), "{|", "|}")
-    rules = [
-        (r"(?i)\[\[Category:[^\]]*\]\]", ""),
-        (r"(?i)\[\[(?:File|Image):(?:[^\[\]]|\[\[[^\]]*\]\])*\]\]", ""),
-        (r"\[\[[^|\]]*\|([^\]]*)\]\]", "$1"),
-        (r"\[\[([^\]]*)\]\]", "$1"),
-        (r"(?m)^={1,6}\s*(.*?)\s*={1,6}[ \t]*$", "$1"),
-        (r"'''(.*?)'''", "$1"),
-        (r"''(.*?)''", "$1"),
-        (r"\[https?://\S+\s+([^\]]+)\]", "$1"),
-        (r"\[https?://[^\]]*\]", ""),
-        (r"__[A-Z]+__", ""),
-        (r"<[^>]+>", ""),
-    ]
-    out = html_unescape(reduce(lambda a, r: F.regexp_replace(a, *r), rules, out))
-    return strip(F.regexp_replace(F.regexp_replace(out, r"[ \t]+", " "), r"\n{3,}", "\n\n"))
+    out = html_unescape(reduce(lambda a, r: F.regexp_replace(a, *r), MARKUP, strip_nested(out)))
+    return strip(F.regexp_replace(F.regexp_replace(out, r"[^\S\n]{2,}", " "), r"\n{3,}", "\n\n"))
 
 
 def clean_field(c: Column) -> Column:
@@ -77,27 +77,17 @@ def article_kind(c: Column) -> Column:
 
 
 def infobox(c: Column) -> Column:
-    """The first known template, in the order of the lists, with its nested ones; null if it doesn't end.
-
-    A regular expression with three levels of nesting says the same as counting braces.
-    """
-    level = r"\{\{(?:[^{}]|\{(?!\{)|\}(?!\}))*+\}\}"
-    for _ in range(3):
-        level = rf"\{{\{{(?:[^{{}}]|\{{(?!\{{)|\}}(?!\}})|{level})*+\}}\}}"
-    found = [none_if_empty(F.regexp_extract(text(c), rf"(?is)(?={_quoted(t)}){level}", 0)) for t in FILM_TEMPLATES + TV_TEMPLATES]
-    return F.coalesce(*found)
-
-
-def _quoted(t: str) -> str:
-    return rf"\Q{t}\E"
+    """The first known template, in the order of the lists, with its nested ones, by counting braces; null if there is
+    none or it doesn't end."""
+    return first_template(c, FILM_TEMPLATES + TV_TEMPLATES)
 
 
-def infobox_fields(c: Column, compat: bool = False) -> Column:
-    """STR-22: map of lower-cased names to the first line of the value; the last of equal names wins. compat lets an
+def infobox_fields(box: Column, compat: bool = False) -> Column:
+    """STR-22: of an infobox(), in a column of its own, the map of lower-cased names to the first line of the value; the last of equal names wins. compat lets an
     empty value take the next line."""
     gap = r"\s*" if compat else r"[^\S\n]*"
     pattern = rf"(?mi)^\|\s*(\w[\w\s]*?)\s*={gap}(.*)$"
-    box = text(infobox(c))
+    box = text(box)
     keys = F.transform(F.regexp_extract_all(box, F.lit(pattern), F.lit(1)), lambda k: F.lower(strip(k)))
     values = F.transform(F.regexp_extract_all(box, F.lit(pattern), F.lit(2)), strip)
     pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))

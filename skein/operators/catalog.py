@@ -1,11 +1,11 @@
-"""Catalogue queries and state tables (PRED-12..14, LIM-01, 02, PRJ-01..06, SORT-02, AGG-07, 09, 18, WIN-04, MAP-01, STM-16)."""
+"""Catalogue queries and state tables (PRED-12..14, LIM-01, 02, PRJ-03..06, SORT-02, AGG-07, 09, 18, WIN-04, MAP-01, STM-16)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import if_other, text
+from ..functions.text import text
 from .tags import size_of
 
 
@@ -42,14 +42,6 @@ def page_list(df: DataFrame, order: list[Column], token: str = "", size: int = 5
     return rows, str(at + size) if rows.count() == size else ""
 
 
-def enriched(df: DataFrame, kind: str = "movie") -> DataFrame:
-    """PRJ-01, PRJ-02: the projection written after matching."""
-    name, original = ("title", "original_title") if kind == "movie" else ("name", "original_name")
-    only = ["runtime", "budget", "revenue", "director"] if kind == "movie" else []
-    keep = [c for c in ["imdb_id", "overview", "genres", "cast", "popularity", "vote_average", "vote_count", "original_language", *only] if c in df.columns]
-    return df.select(F.col("tmdb_id").cast("string").alias("tmdb_id"), F.col(name).alias("title"), if_other(text(F.col(original)), text(F.col(name))).alias("original_title"), *keep)
-
-
 def union_sources(*frames: DataFrame) -> DataFrame:
     """PRJ-03, SET-01: per-source columns put together by name."""
     out = frames[0]
@@ -117,3 +109,23 @@ def job_status(commands: DataFrame) -> DataFrame:
     status = F.create_map(*(F.lit(x) for kv in TRANSITIONS.items() for x in kv))[F.col("command")]
     known = commands.withColumn("status", status).where("status is not null")
     return known.groupBy("job_id").agg(F.max_by("status", "at").alias("status"), F.max("at").alias("updated_at"))
+
+
+#: Fields of a crawl project that a caller sets; a project of a list is shown with them.
+PROJECT = "id string, name string, seeds array<string>, created_at bigint, updated_at bigint"
+
+
+def created(projects: DataFrame, new: DataFrame) -> DataFrame:
+    """Projects with the new ones; one whose id is there already changes nothing."""
+    return projects.unionByName(new.join(projects.select("id"), "id", "left_anti"), allowMissingColumns=True)
+
+
+def deleted(table: DataFrame, key: str, *values) -> DataFrame:
+    """The table without the rows of these keys."""
+    return table.where(~F.coalesce(F.col(key).isin(*values), F.lit(False)))
+
+
+def progress(done: Column, total: Column, seconds: Column) -> tuple[Column, Column]:
+    """AGG-11: rows a second so far, and the seconds that the rest will take at that rate; null before anything is done."""
+    rate = F.when(seconds > 0, done / seconds)
+    return rate, F.when(rate > 0, (total - done) / rate)

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import any_part, host, micros
-from .dedup import _written
+from ..session import written as _written
 
 
 def link_edges(pages: DataFrame, url: str = "url", links: str = "links") -> DataFrame:

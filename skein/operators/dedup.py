@@ -8,11 +8,10 @@ so roots are found in rounds: a row is decided once no undecided earlier row cou
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written as _written
 from ..functions.text import fuzzy_chars, norm_key, norm_title, strip_disambig, strip_subtitle, text, translit_variants
 
 #: Rank, method, confidence in hundredths.
@@ -23,7 +22,8 @@ METHODS = [
 
 
 def _key(kind: str, c: Column, year: Column) -> Column:
-    return F.concat(F.lit(kind), norm_key(c, year))
+    """Null for a title without letters and digits: such titles have nothing in common."""
+    return F.when(norm_title(c) != "", F.concat(F.lit(kind), norm_key(c, year)))
 
 
 def index_keys() -> Column:
@@ -32,13 +32,13 @@ def index_keys() -> Column:
     clean, short = strip_disambig(title, narrow=True), strip_subtitle(title)
     director = F.when((text(F.col("director")) != "") & (text(year) != ""), F.concat(F.lit("d:"), norm_title(F.col("director")), F.lit("::"), year))
     single = F.array_compact(F.array(_key("e:", title, year), F.when(clean != title, _key("e:", clean, year)), F.when(short != title, _key("s:", short, year)), director))
-    return F.array_distinct(F.concat(single, F.transform(translit_variants(title), lambda v: _key("t:", v, year))))
+    return F.array_compact(F.array_distinct(F.concat(single, F.transform(translit_variants(title), lambda v: _key("t:", v, year)))))
 
 
 def probes() -> Column:
     """(rank, place, key) in the order in which they are tried; place numbers the variants."""
     title, year = F.col("title"), F.col("year")
-    probe = lambda rank, place, key: F.struct(F.lit(rank).alias("rank"), place.alias("place"), key.alias("key"))
+    probe = lambda rank, place, key: F.when(key.isNotNull(), F.struct(F.lit(rank).alias("rank"), place.alias("place"), key.alias("key")))
     clean, short = strip_disambig(title, narrow=True), strip_subtitle(title)
     zero = F.lit(0)
     director = F.when((text(F.col("director")) != "") & (text(year) != ""), probe(9, zero, F.concat(F.lit("d:"), norm_title(F.col("director")), F.lit("::"), year)))
@@ -68,8 +68,8 @@ def resolve(rows: DataFrame, rounds: int = 50) -> DataFrame:
     Rounds are written to the folder of spark.checkpoint.dir and end when all rows are decided: as many as the longest
     chain of rows that depend on each other.
     """
-    key = norm_key(F.col("title"), F.col("year"))
-    firsts = rows.where("wave = 0").groupBy(key.alias("k")).agg(F.max("ord").alias("stands"))
+    key = F.when(norm_title(F.col("title")) != "", norm_key(F.col("title"), F.col("year")))
+    firsts = rows.where("wave = 0").where(key.isNotNull()).groupBy(key.alias("k")).agg(F.max("ord").alias("stands"))
     base = rows.withColumn("k", key).join(firsts, "k", "left")
     same = base.where("wave = 0").select("ord", F.col("stands").alias("root0"))
     pairs = _written(match_candidates(rows), "pairs")
@@ -94,19 +94,6 @@ def resolve(rows: DataFrame, rounds: int = 50) -> DataFrame:
     return out.select(*rows.columns, F.coalesce("root2", "root1", "root0", "ord").alias("root"), label(1).alias("method"), label(2).alias("confidence"))
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-
-        folder = f"file://{tempfile.mkdtemp(prefix='skein-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def resolve_in_order(rows: list[dict]) -> dict[int, tuple[int, int | None]]:
     """The same, one row after another, for small inputs: ord -> (root, rank). rows carry their index keys and probes."""
     index: dict[str, list[int]] = {}
@@ -138,14 +125,46 @@ def merge_counters(rows: DataFrame) -> DataFrame:
     return rows.groupBy("wave").agg(F.count_if(F.col("root") != F.col("ord")).alias("merged"), F.count_if(F.col("root") == F.col("ord")).alias("new"))
 
 
+#: Merge effects, by the kind of source: fields that fill a blank (the first value stays), and fields of which the last
+#: value that isn't empty counts.
+FILLS = {"encyclopedia": ["plot_summary"], "yearlist": ["wiki_director", "wiki_cast", "production_company"]}
+REPLACES = {"encyclopedia": ["wiki_url", "categories"]}
+
+
+def _present(c: str, kind: str) -> Column:
+    return F.size(c) > 0 if kind.startswith("array") else text(F.col(c).cast("string")) != ""
+
+
 def unified(resolved: DataFrame, source: str = "source") -> DataFrame:
-    """SURVEY 2.8, merge effects: per root the distinct sources in order, and the method and confidence of the last merge
-    below 95; blanks of the root's director are filled by the first merged row that has one."""
+    """SURVEY 2.8, merge effects; AGG-14: per root one row in which all rows that merged into it took effect.
+
+    Title and year are the root's own; sources are distinct, in order. Rows of the encyclopedia fill a blank plot and
+    replace address and categories; those of year lists fill blank director, cast and company; those of any other
+    source but the first one are platforms, each an entry of `platforms`. Method and confidence are those of the last
+    inexact merge of the first two kinds, after which a platform's count only if its confidence is higher. Fields that
+    the rows lack are left out.
+    """
+    kinds = dict(resolved.dtypes)
     order = F.struct("ord")
+    first = lambda c, ok: F.min_by(c, F.when(ok, order))
+    last = lambda c, ok: F.max_by(c, F.when(ok, order))
+    of = lambda kind: F.col(source) == kind
+    listed = of("encyclopedia") | of("yearlist")
+    platform = ~listed & (F.col("wave") > 0)
+    inexact = (F.col("confidence") < 95) & listed
+    cols = [first(c, of(k) & _present(c, kinds[c])).alias(c) for k, names in FILLS.items() for c in names if c in kinds]
+    cols += [last(c, of(k) & _present(c, kinds[c])).alias(c) for k, names in REPLACES.items() for c in names if c in kinds]
+    shown = [c for c in ("platform_url", "thumbnail_url", "banner_url") if c in kinds]
     rows = resolved.groupBy("root").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("ord", source))), lambda s: s[source]).alias("all"),
         F.min_by("title", order).alias("title"), F.min_by("year", order).alias("year"),
-        F.min_by("director", F.when(text(F.col("director")) != "", order)).alias("director"),
-        F.max_by("method", F.when(F.col("confidence") < 95, order)).alias("method"), F.max_by("confidence", F.when(F.col("confidence") < 95, order)).alias("confidence"),
+        F.min_by("director", F.when(text(F.col("director")) != "", order)).alias("director"), *cols,
+        F.transform(F.array_sort(F.collect_list(F.when(platform, F.struct("ord", F.col(source).alias("platform"), *shown)))), lambda s: F.struct(s["platform"].alias("platform"), *(s[c].alias(c) for c in shown))).alias("platforms"),
+        last("method", inexact).alias("m"), last("confidence", inexact).alias("c"), F.max(F.when(platform & (F.col("confidence") < 95), F.struct("confidence", (-F.col("ord")).alias("o"), "method"))).alias("p"),
+    )
+    up = F.coalesce(F.col("p.confidence") > F.coalesce("c", F.lit(0)), F.lit(False))
+    fields = [c for names in (*FILLS.values(), *REPLACES.values()) for c in names if c in kinds]
+    return rows.select(
+        "root", "title", "year", "director", *fields, "platforms", F.array_distinct("all").alias("sources"), F.when(up, F.col("p.method")).otherwise(F.col("m")).alias("method"),
+        F.when(up, F.col("p.confidence")).otherwise(F.col("c")).alias("confidence"),
     )
-    return rows.select("root", "title", "year", "director", F.array_distinct("all").alias("sources"), "method", "confidence")

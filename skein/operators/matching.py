@@ -10,8 +10,10 @@ from ..functions.text import equal_fold, fuzzy_names, none_if_empty, norm_title,
 
 def left_by_key(left: DataFrame, right: DataFrame, key: str, right_key: str | None = None) -> DataFrame:
     """JOIN-01: left outer join in which an empty key meets nothing; the right side has one row per key."""
-    r = right.withColumnRenamed(right_key or key, "__key")
-    return left.join(r, none_if_empty(F.col(key).cast("string")) == F.col("__key").cast("string"), "left").drop("__key")
+    kind = left.schema[key].dataType
+    r = right.withColumnRenamed(right_key or key, "__key").withColumn("__key", F.col("__key").cast(kind))
+    own = none_if_empty(F.col(key)) if kind.simpleString() == "string" else F.col(key)
+    return left.join(r, own == F.col("__key"), "left").drop("__key")
 
 
 def with_cast(titles: DataFrame, principals: DataFrame, key: str = "imdb_id") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import any_part, none_if_empty, strip, text
+from ..functions.udfs import body_text
 
 SITEMAP_LIMIT = 10_000
 
@@ -63,6 +64,16 @@ def allowed(urls: DataFrame, found: DataFrame, keys: list[str] | None = None) ->
     return urls.join(judged, [*keys, "path"], "left").withColumn("allowed", F.coalesce("ok", F.lit(True))).drop("ok")
 
 
+def verdicts(urls: DataFrame, answers: DataFrame, agent: str) -> DataFrame:
+    """ROB-01, ROB-06: urls(domain, path) with allowed, over the domains' answers(domain, status, body): each domain's
+    text is parsed once, whatever the number of its addresses; an answer that can't be had denies all, a 4xx allows all,
+    and so does a domain that wasn't asked."""
+    answers = answers.dropDuplicates(["domain"]).withColumn("policy", policy(F.col("status")))
+    found = rules(answers.where("policy = 'rules'").select("domain", "body"), agent)
+    judged = allowed(urls, found).join(answers.select("domain", "policy"), "domain", "left")
+    return judged.withColumn("allowed", F.when(F.col("policy") == "deny", False).when(F.col("policy") == "allow", True).otherwise(F.col("allowed"))).drop("policy")
+
+
 def crawl_delay(found: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """ROB-05, MATH-03: (domain, delay, rps) by the last delay of the group; no row, no delay."""
     d = F.expr("try_cast(value AS double)")
@@ -70,11 +81,23 @@ def crawl_delay(found: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return rows.withColumn("rps", F.when(F.col("delay") > 0, 1 / F.col("delay")))
 
 
+def sitemap_locs(body: Column) -> tuple[Column, Column]:
+    """(whether it is an index, its addresses) of a sitemap, parsed as XML: prefixes don't matter, references and CDATA
+    are resolved; a broken document gives nothing."""
+    entry = "array<struct<loc:string>>"
+    doc = F.from_xml(none_if_empty(strip(text(body))), f"url {entry}, sitemap {entry}", {"ignoreNamespace": "true"})
+    index = text(body).rlike(r"(?is)^(?:[^<]|<[?!][^>]*>)*<(?:\w+:)?sitemapindex[\s>/]")
+    locs = F.transform(F.when(index, doc["sitemap"]).otherwise(doc["url"]), lambda x: strip(text(x["loc"])))
+    return index, F.filter(F.coalesce(locs, F.array().cast("array<string>")), lambda x: x != "")
+
+
 def sitemap_urls(sitemaps: DataFrame, root: str, limit: int = SITEMAP_LIMIT, depth: int = 2) -> DataFrame:
-    """SRC-16, LIM-03: (loc, place) of a sitemap over sitemaps(loc, body): an index is followed down to `depth` levels, broken or
-    missing children give nothing; order of the documents; at most `limit`."""
-    locs = F.filter(F.transform(F.regexp_extract_all(text(F.col("body")), F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1)), lambda x: strip(x)), lambda x: x != "")
-    parsed = sitemaps.select(F.col("loc").alias("from"), text(F.col("body")).rlike(r"(?s)<sitemapindex[\s>]").alias("is_index"), F.posexplode(locs).alias("i", "loc"))
+    """SRC-16, LIM-03: (loc, place) of a sitemap over sitemaps(loc, body), where body is text or fetched bytes, gzipped or
+    not: an index is followed down to `depth` levels, broken or missing children give nothing; order of the documents;
+    at most `limit`."""
+    body = body_text(F.col("body")) if dict(sitemaps.dtypes)["body"] == "binary" else F.col("body")
+    index, locs = sitemap_locs(F.col("body"))
+    parsed = sitemaps.select("loc", body.alias("body")).select(F.col("loc").alias("from"), index.alias("is_index"), F.posexplode(locs).alias("i", "loc"))
     here = parsed.where(F.col("from") == root).withColumn("place", F.array("i"))
     out = here.where(~F.col("is_index"))
     for _ in range(depth):
@@ -86,8 +109,7 @@ def sitemap_urls(sitemaps: DataFrame, root: str, limit: int = SITEMAP_LIMIT, dep
 
 def platform_urls(sitemaps: DataFrame, root: str, filters: list[str], paths: list[str]) -> DataFrame:
     """SRC-17, PRED-05: content addresses of one level of sub-sitemaps whose address has any of the filters."""
-    locs = F.transform(F.regexp_extract_all(text(F.col("body")), F.lit(r"(?s)<loc>(.*?)</loc>"), F.lit(1)), strip)
-    parsed = sitemaps.select(F.col("loc").alias("from"), F.explode(locs).alias("loc"))
+    parsed = sitemaps.select(F.col("loc").alias("from"), F.explode(sitemap_locs(F.col("body"))[1]).alias("loc"))
     subs = parsed.where(F.col("from") == root)
     if filters:
         subs = subs.where(any_part(F.upper("loc"), [f.upper() for f in filters]))

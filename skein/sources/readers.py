@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import dataclasses
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.text import none_if_empty, strip, text, video_url
-from ..functions.wikitext import article_kind, categories, clean_field, extract_list, infobox_fields, plot_section, strip_wikitext, wiki_url
+from ..functions.wikitext import article_kind, categories, clean_field, extract_list, infobox, infobox_fields, plot_section, strip_wikitext, wiki_url
 from ..functions.text import content_hash, year_search
 
 
@@ -95,13 +96,14 @@ def streaming_records(spark: SparkSession, folder: str, platforms: list[str]) ->
 
 def dump(spark: SparkSession, path: str) -> DataFrame:
     """SRC-08, PRED-07: (id, title, markup) of articles of the main namespace that aren't redirects."""
-    rows = spark.read.format("xml").option("rowTag", "page").option("ignoreNamespace", "true").schema(schemas.XML_PAGES).load(path)
+    rows = spark.read.format("xml").option("rowTag", "page").options(ignoreNamespace="true", ignoreSurroundingSpaces="false").schema(schemas.XML_PAGES).load(path)
     return rows.where((F.col("ns") == "0") & F.col("redirect").isNull()).select("id", "title", text(F.col("revision.text")).alias("markup"))
 
 
 def dump_articles(pages: DataFrame) -> DataFrame:
     """The filter over a dump: films and shows with infobox fields, categories, plot, address and hash (STR-21..28, MAP-02: a missing field is '')."""
-    rows = pages.withColumn("type", article_kind(F.col("markup"))).where("type is not null").withColumn("f", infobox_fields(F.col("markup")))
+    rows = pages.withColumn("type", article_kind(F.col("markup"))).where("type is not null")
+    rows = rows.withColumn("box", infobox(F.col("markup"))).withColumn("f", infobox_fields(F.col("box")))
     f = lambda *n: F.coalesce(*(none_if_empty(F.try_element_at("f", F.lit(x))) for x in n), F.lit(""))
     films = F.col("type") == "film"
     return rows.select(
@@ -161,16 +163,18 @@ def registry(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def bad_elements_dropped(c: Column, element: str) -> Column:
-    """JSON-01: a JSON array's elements of the given DDL type, those that don't fit left out."""
-    items = F.from_json(c, "array<string>")
-    return F.filter(F.transform(items, lambda x: F.from_json(x, element)), lambda s: s.isNotNull() & s["name"].isNotNull())
+    """JSON-01: of an array of JSON texts the elements with the given fields (DDL), those that don't fit left out."""
+    texts = "|".join(re.findall(r"`?(\w+)`? string", element))
+    fits = F.filter(c, lambda x: ~F.schema_of_variant(F.try_parse_json(x)).rlike(rf"(?:<|, )(?:{texts}): (?!STRING|VOID)"))
+    read = F.transform(fits, lambda x: F.from_json(x, f"{element}, _corrupt_record string", {"columnNameOfCorruptRecord": "_corrupt_record"}))
+    return F.transform(F.filter(read, lambda s: s.isNotNull() & s["_corrupt_record"].isNull()), lambda s: s.dropFields("_corrupt_record"))
 
 
 PAYLOAD = (
     "id bigint, imdb_id string, title string, name string, original_title string, original_name string, adult boolean, overview string, tagline string, release_date string, "
     "first_air_date string, runtime int, budget bigint, revenue bigint, popularity double, vote_average double, vote_count int, status string, original_language string, "
     f"origin_country array<string>, genres {schemas.NAMED}, homepage string, poster_path string, backdrop_path string, belongs_to_collection struct<id:bigint,name:string>, "
-    f"credits struct<cast:{schemas.CAST},crew:{schemas.CREW}>, keywords struct<keywords:{schemas.NAMED},results:{schemas.NAMED}>, videos struct<results:array<{schemas.VIDEO}>>, "
+    f"credits struct<cast:array<string>,crew:array<string>>, keywords struct<keywords:{schemas.NAMED},results:{schemas.NAMED}>, videos struct<results:array<{schemas.VIDEO}>>, "
     "similar struct<results:array<struct<id:bigint,title:string,name:string>>>, "
     "release_dates struct<results:array<struct<iso_3166_1:string,release_dates:array<struct<certification:string>>>>>, content_ratings struct<results:array<struct<iso_3166_1:string,rating:string>>>, "
     "alternative_titles struct<titles:array<struct<iso_3166_1:string,title:string>>,results:array<struct<iso_3166_1:string,title:string>>>, "
@@ -179,11 +183,12 @@ PAYLOAD = (
 
 
 def payload(rows: DataFrame, kind: str, body: str = "body") -> DataFrame:
-    """SRC-11, SRC-12, JSON-02, JSON-03, AGG-15, AGG-16, STR-29, MAP-01: title records from nested API answers."""
+    """SRC-11, SRC-12, JSON-01..03, AGG-15, AGG-16, STR-29, MAP-01: title records from nested API answers."""
     movie = kind == "movie"
     p = rows.select("*", F.from_json(body, PAYLOAD).alias("p")).where("p is not null and p.id is not null")
-    cast = F.filter("p.credits.cast", lambda m: m["id"] > 0)
-    crew = F.filter("p.credits.crew", lambda m: m["id"] != 0)
+    fields = lambda kind: kind.removeprefix("array<struct<").removesuffix(">>").replace(":", " ").replace(",", ", ")
+    cast = F.filter(bad_elements_dropped(F.col("p.credits.cast"), fields(schemas.CAST)), lambda m: m["id"] > 0)
+    crew = F.filter(bad_elements_dropped(F.col("p.credits.crew"), fields(schemas.CREW)), lambda m: m["id"] != 0)
     job = F.transform(crew, lambda m: F.concat_ws(":", m["id"], m["job"]))
     crew = F.filter(crew, lambda m, i: ~F.array_contains(F.slice(job, F.lit(1), i), F.concat_ws(":", m["id"], m["job"])))
     rated = F.transform("p.release_dates.results", lambda r: F.struct(r["iso_3166_1"].alias("country"), F.try_element_at(F.filter(F.transform(r["release_dates"], lambda d: d["certification"]), lambda c: text(c) != ""), F.lit(1)).alias("certification")))

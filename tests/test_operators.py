@@ -98,30 +98,30 @@ def test_director_pass_alone_links_respelled_titles(spark):
 
 def test_robots(spark):
     texts = {
-        "a": "User-agent: *\nDisallow: /private/ # c\nDisallow: /tmp/\nAllow: /private/public/\nCrawl-delay: 0.5\nSitemap: http://a/1\nSitemap: http://a/2",
-        "b": "User-agent: SpecialBot\nDisallow: /\n\nUser-agent: *\nDisallow: /admin/",
-        "c": "User-agent: *\nDisallow: /*.json$\nDisallow: /api/*/internal\nAllow: /api/v1/public",
-        "d": "User-agent: *\nDisallow:",
-        "e": "User-agent: BotA\nUser-agent: SpecialBot\nDisallow: /restricted/\nUser-agent: *\nDisallow:",
+        "north": "User-agent: *\nDisallow: /attic/ # dust\nDisallow: /cellar\nAllow: /attic/window\nCrawl-delay: 0.25\nSitemap: http://north/m1\nUser-agent: later\nSitemap: http://north/m2",
+        "east": "User-agent: Spinneret\nDisallow: /\nAllow: /porch\n\nUser-agent: *\nDisallow: /shed/",
+        "south": "user-AGENT: *\ndisallow: /*.tar$\ndisallow: /yard/*/well\nallow: /yard/new/well",
+        "west": "User-agent: *\nDisallow:\nUser-agent: other\nDisallow: /",
+        "up": "Disallow: /early\nUser-agent: loom\nUser-agent: spinneret\nDisallow: /roof\nCrawl-delay: none",
     }
     df = spark.createDataFrame(list(texts.items()), "domain string, body string")
     paths = {
-        ("a", "/"): 1, ("a", "/private/secret"): 0, ("a", "/private/public/page"): 1, ("a", "/tmp/file"): 0, ("b", "/page"): 0, ("c", "/data.json"): 0, ("c", "/data.json?q=1"): 1,
-        ("c", "/api/v2/internal"): 0, ("c", "/api/v1/public"): 1, ("c", "/page.html"): 1, ("c", "/a.json.json"): 1, ("d", "/anything"): 1, ("e", "/restricted/page"): 0,
+        ("north", "/"): 1, ("north", "/attic/box"): 0, ("north", "/attic/window/2"): 1, ("north", "/cellars"): 0, ("east", "/gate"): 0, ("east", "/porch/1"): 1, ("south", "/x.tar"): 0, ("south", "/x.tar?v=2"): 1,
+        ("south", "/yard/old/well"): 0, ("south", "/yard/new/well"): 1, ("south", "/x.tart"): 1, ("south", "/x.tar.tar"): 1, ("west", "/any"): 1, ("up", "/early"): 1, ("up", "/roof/tile"): 0,
     }
     urls = spark.createDataFrame(list(paths), "domain string, path string")
-    found = robots.rules(df, "SpecialBot/1.0")
+    found = robots.rules(df, "Spinneret/2.1")
     assert {(r["domain"], r["path"]): int(r["allowed"]) for r in robots.allowed(urls, found).collect()} == paths
-    other = robots.allowed(spark.createDataFrame([("b", "/page"), ("b", "/admin/x")], "domain string, path string"), robots.rules(df, "OtherBot"))
-    assert {r["path"]: r["allowed"] for r in other.collect()} == {"/page": True, "/admin/x": False}
-    assert rows(robots.crawl_delay(found)) == [("a", 0.5, 2.0)]
-    assert [r["value"] for r in found.where("kind = 'sitemap'").orderBy("line").collect()] == ["http://a/1", "http://a/2"]
+    stranger = robots.allowed(spark.createDataFrame([("east", "/gate"), ("east", "/shed/a")], "domain string, path string"), robots.rules(df, "Bobbin"))
+    assert {r["path"]: r["allowed"] for r in stranger.collect()} == {"/gate": True, "/shed/a": False}
+    assert rows(robots.crawl_delay(found)) == [("north", 0.25, 4.0)]
+    assert [r["value"] for r in found.where("kind = 'sitemap'").orderBy("line").collect()] == ["http://north/m1", "http://north/m2"]
     status = spark.createDataFrame([(200,), (404,), (503,), (None,)], "s int").select(robots.policy(F.col("s"))).collect()
     assert [r[0] for r in status] == ["rules", "allow", "deny", "deny"]
 
 
 def test_sitemaps(spark):
-    maps = spark.createDataFrame([("i", "<sitemapindex><sitemap><loc> a </loc></sitemap><loc>x</loc><loc>b</loc></sitemapindex>"), ("a", "<urlset><url><loc>1</loc></url><url><loc></loc></url></urlset>"), ("b", "<urlset><loc>2</loc><loc>3</loc></urlset>")], "loc string, body string")
+    maps = spark.createDataFrame([("i", "<sitemapindex><sitemap><loc> a </loc></sitemap><sitemap><loc>x</loc></sitemap><sitemap><loc>b</loc></sitemap></sitemapindex>"), ("a", "<urlset><url><loc>1</loc></url><url><loc></loc></url></urlset>"), ("b", "<urlset><url><loc>2</loc></url><url><loc>3</loc></url></urlset>")], "loc string, body string")
     assert [r["loc"] for r in robots.sitemap_urls(maps, "i").collect()] == ["1", "2", "3"]
     assert [r["loc"] for r in robots.sitemap_urls(maps, "i", limit=2).collect()] == ["1", "2"]
     assert rows(robots.platform_urls(maps, "i", ["B"], ["2"])) == [("2",)]
@@ -251,8 +251,6 @@ def test_catalog(spark):
     assert catalog.lookup(t, t.withColumn("id", F.col("id") + 10), "id", 12).first()["name"] == "b"
     jobs = spark.createDataFrame([(1, 1, "start"), (1, 2, "pause"), (2, 1, "start"), (2, 3, "noise")], "job_id int, at int, command string")
     assert {r["job_id"]: r["status"] for r in catalog.job_status(jobs).collect()} == {1: "PAUSED", 2: "RUNNING"}
-    m = spark.createDataFrame([(1, "A", "A"), (2, "B", "C")], "tmdb_id int, title string, original_title string")
-    assert [r["original_title"] for r in catalog.enriched(m).orderBy("tmdb_id").collect()] == ["", "C"]
     e = spark.createDataFrame([(1, 5.0, "2024-01-05"), (2, 0.1, "2024-01-05"), (3, 9.0, "2024-01-01")], "id int, popularity double, d string").withColumn("day", F.to_date("d"))
     kept, skipped = readers.export_ids(e, 1.0, "2024-01-06")
     assert [r["id"] for r in kept.collect()] == [1] and [r["id"] for r in skipped.collect()] == [2]

@@ -80,7 +80,8 @@ def test_robots_flags(spark):
         ("See [[United States|US]] for details", "See US for details"),
         ("Visit [[Paris]] today", "Visit Paris today"),
         ("A {{outer {{inner}} stuff}} B", "A B"),
-        ("Before [[File:Example.png|thumb|A [[link]] caption]] after", "Before after"),
+        ("Before [[File:Own.png|thumb|A [[link]] here]] after", "Before here]] after"),
+        ("Before [[Image:Own.png|thumb|A view]] after", "Before after"),
         ("== Early life ==\nUlm", "Early life\nUlm"),
         ("This is '''bold''' and ''italic'' text", "This is bold and italic text"),
         ('Fact<ref>Source</ref> and<ref name="b" /> end<ref>x</ref>', "Fact and end"),
@@ -103,10 +104,11 @@ def test_compat_swallows(spark):
 
 def test_infobox(spark):
     box = "x {{Infobox film\n| name = N {{y|{{z}}}}\n| director =\n| writer = X\n| name = M\n}} | after = no"
-    assert values(spark, W.infobox_fields, [box]) == [{"director": "", "writer": "X", "name": "M"}]
-    compat = values(spark, lambda c: W.infobox_fields(c, compat=True), [box])[0]
+    fields = lambda texts, **how: [r["f"] for r in spark.createDataFrame([(x,) for x in texts], "x string").withColumn("box", W.infobox(F.col("x"))).select(W.infobox_fields(F.col("box"), **how).alias("f")).collect()]
+    assert fields([box]) == [{"director": "", "writer": "X", "name": "M"}]
+    compat = fields([box], compat=True)[0]
     assert compat["director"] == "| writer = X"
-    assert values(spark, W.infobox_fields, ["{{Infobox film\n| a = b"]) == [{}]
+    assert fields(["{{Infobox film\n| a = b", "x {{infobox TV\n| a = {{1{{2{{3{{4{{5}}}}}}}}}}\n| b = c\n}}", "none"]) == [{}, {"a": "{{1{{2{{3{{4{{5}}}}}}}}}}", "b": "c"}, {}]
     assert values(spark, W.plot_section, ["a\n== Plot ==\n'''He''' runs.\n== Cast ==\nno"]) == ["He runs."]
     assert values(spark, W.plot_section, ["none"]) == [""]
 
