@@ -38,7 +38,7 @@ EXACT = 48
 #: Tokens a task gathers before it passes them on.
 TOKENS = 700_000
 #: Parts that words are dealt to at least; a part is a row that one task holds in memory.
-LEAST_PARTS = 160
+LEAST_PARTS = 320
 #: The end of a text as a token: no word is a single space.
 END = xxhash.xxh64_intdigest(b" ", 0)
 LEVELS, CLASSES = 4, 65536
@@ -320,7 +320,23 @@ class Words:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    return pa.compress(b"".join(np.ascontiguousarray(a).tobytes() for a in arrays), codec="zstd", asbytes=True)
+    """Arrays one after another, of each the first bytes of all numbers, then the second ones, and so on: most numbers
+    are small, and their high bytes take no room."""
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() if len(a) else b"" for a in arrays)
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+class _Unpacked:
+    """Reads what _pack() made, array by array."""
+
+    def __init__(self, body: bytes, raw: int):
+        self.data, self.at = pa.decompress(body, decompressed_size=raw, codec="zstd", asbytes=True), 0
+
+    def take(self, kind: type, n: int) -> np.ndarray:
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(self.data, np.uint8, n * size, self.at).reshape(size, n)
+        self.at += n * size
+        return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], parts: int, contexts: Contexts) -> Iterator[pa.RecordBatch]:
@@ -386,13 +402,10 @@ def _dealt(batches: Iterator[pa.RecordBatch], parts: int, contexts: Contexts) ->
 
 
 def _unpack(body: bytes, raw: int) -> tuple[np.ndarray, ...]:
-    data = pa.decompress(body, decompressed_size=raw, codec="zstd", asbytes=True)
-    n, k, m = (int(x) for x in np.frombuffer(data, np.int64, 3))
-    out, at = [], 24
-    for kind, size in ((np.uint64, k), (np.int64, m), (np.uint8, m), (np.uint32, k), (np.uint32, n), (np.uint32, n), (np.uint32, n)):
-        out.append(np.frombuffer(data, kind, size, at))
-        at += out[-1].nbytes
-    return tuple(out)
+    data = _Unpacked(body, raw)
+    n, k, m = data.take(np.int64, 3).tolist()
+    kinds = (np.uint64, k), (np.int64, m), (np.uint8, m), (np.uint32, k), (np.uint32, n), (np.uint32, n), (np.uint32, n)
+    return tuple(data.take(kind, size) for kind, size in kinds)
 
 
 def _merged(frame: pd.DataFrame, contexts: Contexts) -> pd.DataFrame:
@@ -421,9 +434,9 @@ def _merged(frame: pd.DataFrame, contexts: Contexts) -> pd.DataFrame:
 
 
 def _words(model: bytes, raw: int, contexts: Contexts) -> Words:
-    data = pa.decompress(model, decompressed_size=raw, codec="zstd", asbytes=True)
-    words, n = (int(x) for x in np.frombuffer(data, np.int64, 2))
-    places, key, counts = np.frombuffer(data, np.int64, words, 16), np.frombuffer(data, np.int64, n, 16 + 8 * words), np.frombuffer(data, np.int64, n, 16 + 8 * (words + n))
+    data = _Unpacked(model, raw)
+    words, n = data.take(np.int64, 2).tolist()
+    places, key, counts = data.take(np.int64, words), data.take(np.int64, n), data.take(np.int64, n)
     return Words(key // contexts.size, key % contexts.size, counts, places, contexts)
 
 
@@ -496,10 +509,11 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
             for row in range(len(batch)):
                 part, model, raw, said, said_raw = (batch.column(i)[row].as_py() for i in range(5))
                 w = _words(model, raw, contexts)
-                data = pa.decompress(said, decompressed_size=said_raw, codec="zstd", asbytes=True)
-                m, k = (int(x) for x in np.frombuffer(data, np.int64, 2))
-                ids, at = np.frombuffer(data, np.int64, m, 16), 16 + 8 * m
-                word, context, doc, times = (np.frombuffer(data, np.uint32, k, at + 4 * k * i).astype(np.int64) for i in range(4))
+                data = _Unpacked(said, said_raw)
+                m, k = data.take(np.int64, 2).tolist()
+                ids = data.take(np.int64, m)
+                word, context, doc, times = (data.take(np.uint32, k).astype(np.int64) for _ in range(4))
+                del data
                 key, back = np.unique(word * contexts.size + context, return_inverse=True)
                 rng, p = np.random.default_rng([SWEEPS + 1, part]), np.zeros(len(key))
                 for _ in range(ROUNDS):
