@@ -29,7 +29,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 #: Neighbours whose validity a worker remembers.
 PAIRS = 2_000_000
 #: Bytes encoded at once, give or take a text; a longer text is cut at spaces that stand alone.
-SLAB = 4_000_000
+SLAB = 1_000_000
 #: Bytes of the longest piece that is encoded side by side with others.
 LONG = 64
 #: The pattern that is cut by categories: contractions, letters, numbers, others, white space.
