@@ -104,7 +104,7 @@ def frequent_words(rows: DataFrame, share: float) -> tuple[np.ndarray, np.ndarra
                     ids, classes = words_of(text.as_buffer().to_pybytes() if text.is_valid else b"")
                     held.append((np.append(ids, np.uint64(END)), np.append(classes, 0)))
                     size += len(ids) + 1
-                    if size >= 4 * TOKENS:
+                    if size >= 2 * TOKENS:
                         yield flush()
                         held, size = [], 0
         if held:
@@ -529,7 +529,7 @@ def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
                 )
 
     # A document has words in most parts: fewer tasks, with several parts each, add up more before the shuffle.
-    tasks = 2 * spark.sparkContext.defaultParallelism
+    tasks = 4 * spark.sparkContext.defaultParallelism
     scored = table.select("part", "model", "model_raw", "said", "said_raw").coalesce(tasks).mapInArrow(run, "row bigint, n_tokens bigint, n_known bigint, base double, score double")
     added = scored.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
     # Rows that repeat were added up; each gets its share.
