@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 #: Neighbours whose validity a worker remembers.
-PAIRS = 2_000_000
+PAIRS = 300_000
 #: Bytes encoded at once, give or take a text; a longer text is cut at spaces that stand alone.
 SLAB = 1_000_000
 #: Bytes of the longest piece that is encoded side by side with others.
@@ -94,7 +94,7 @@ class Vocabulary:
 
     def valid(self, left: int, right: int) -> bool:
         """Whether two tokens (ranks) side by side are the encoding of their bytes."""
-        if len(self.known) > PAIRS:
+        if len(self.known) > PAIRS // 4:
             self.known.clear()
         x, y, get = self.edges(self.tokens[left]), self.edges(self.tokens[right]), self.ranks.get
         found = x is not None and y is not None
