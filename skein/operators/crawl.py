@@ -118,8 +118,17 @@ def retry_plan(attempts: DataFrame, most: int = 3) -> DataFrame:
 
 def fan_out(urls: DataFrame, workers: int, per_second: float, key: str = "url") -> DataFrame:
     """STM-15: urls dealt to workers that share one ticker: worker and start (microseconds) of each, in order of key within
-    a worker; together they start per_second requests a second."""
+    a worker; together they start per_second requests a second.
+
+    A worker's rows are numbered in stretches of keys, which are written, and the stretches before are added; what is
+    broadcast is a row per worker and stretch.
+    """
     gap = int(workers / per_second * 1_000_000)
-    rows = urls.withColumn("worker", F.pmod(F.xxhash64(key), F.lit(workers)).cast("int"))
-    n = F.row_number().over(Window.partitionBy("worker").orderBy(key)) - 1
-    return rows.withColumn("start_us", (n * gap + F.col("worker") * (gap // workers)).cast("bigint"))
+    rows = urls.withColumn("worker", F.pmod(F.xxhash64(key), F.lit(workers)).cast("int")).withColumn("__at", F.monotonically_increasing_id())
+    rows = _written(rows.repartitionByRange("worker", key, "__at").withColumn("__part", F.spark_partition_id()), "fan")
+    sizes = rows.groupBy("worker", "__part").agg(F.count("*").alias("__size"))
+    before = F.coalesce(F.sum("__size").over(Window.partitionBy("worker").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    own = F.row_number().over(Window.partitionBy("worker", "__part").orderBy(key, "__at")) - 1
+    rows = rows.withColumn("__n", own).join(F.broadcast(sizes.select("worker", "__part", before.alias("__before"))), ["worker", "__part"])
+    start = (F.col("__before") + F.col("__n")) * F.lit(gap).cast("bigint") + F.col("worker") * F.lit(gap // workers).cast("bigint")
+    return rows.select(*urls.columns, "worker", start.alias("start_us"))
