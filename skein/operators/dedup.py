@@ -8,6 +8,9 @@ so roots are found in rounds: a row is decided once no undecided earlier row cou
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,11 +55,16 @@ def probes() -> Column:
     return F.array_compact(F.concat(single, swapped))
 
 
-def match_candidates(rows: DataFrame) -> DataFrame:
-    """(ord, root, pass_, rank): every earlier row whose index holds one of a row's probe keys; pass_ orders the passes."""
-    left = rows.where("wave > 0").select("ord", F.col("title").alias("lt"), F.explode(probes()).alias("p")).select("ord", "lt", "p.*")
-    right = rows.select(F.col("ord").alias("root"), F.col("title").alias("rt"), F.explode(index_keys()).alias("key"))
-    pairs = left.join(right, "key").where("root < ord").where((F.col("rank") != 9) | fuzzy_chars(norm_title(F.col("lt")), norm_title(F.col("rt"))))
+def match_candidates(classes: DataFrame) -> DataFrame:
+    """(ord, root, how): for each class of rows after the first source, the classes whose index holds one of its probe keys
+    and that began before its last row (itself, too); how orders the passes.
+
+    classes(ord, last, fixed, title, year, director): rows alike in title, year and director as one, ord the first of them.
+    """
+    norm = norm_title(F.col("title"))
+    left = classes.where("not fixed").select("ord", "last", norm.alias("lt"), F.explode(probes()).alias("p")).select("ord", "last", "lt", "p.*")
+    right = classes.select(F.col("ord").alias("root"), norm.alias("rt"), F.explode(index_keys()).alias("key"))
+    pairs = left.join(right, "key").where("root < last").where((F.col("rank") != 9) | fuzzy_chars(F.col("lt"), F.col("rt")))
     step = F.when(F.col("rank").isin(5, 6), F.lit(5)).otherwise(F.col("rank"))
     return pairs.groupBy("ord", "root").agg(F.min(F.struct(step.alias("step"), "place", "rank")).alias("how"))
 
@@ -65,33 +73,45 @@ def resolve(rows: DataFrame, rounds: int = 50) -> DataFrame:
     """rows(ord, wave, title, year, director) with root (the ord a row merged into; its own if it is a root), method and
     confidence in hundredths. wave 0 is the first source: of its rows with one key the last stands for all.
 
-    Rounds are written to the folder of spark.checkpoint.dir and end when all rows are decided: as many as the longest
-    chain of rows that depend on each other.
+    Rows alike in title, year and director share all keys. So of those after the first source only the first can be a
+    root (unless they have no keys at all, and meet nothing), and of those of the first source the first is found before
+    the others: pairs and rounds are of such classes, and a row takes the best root of its class that lies before it.
+
+    Rounds are written to the folder of spark.checkpoint.dir and end when all classes are decided: as many as the longest
+    chain of classes that depend on each other.
     """
+    cols = ("title", "year", "director")
     key = F.when(norm_title(F.col("title")) != "", norm_key(F.col("title"), F.col("year")))
-    firsts = rows.where("wave = 0").where(key.isNotNull()).groupBy(key.alias("k")).agg(F.max("ord").alias("stands"))
-    base = rows.withColumn("k", key).join(firsts, "k", "left")
-    same = base.where("wave = 0").select("ord", F.col("stands").alias("root0"))
-    pairs = _written(match_candidates(rows), "pairs")
-    state = _written(rows.select("ord", F.when(F.col("wave") == 0, True).alias("is_root")), "roots")
+    fixed = F.col("wave") == 0
+    classes = rows.groupBy(*cols, fixed.alias("fixed")).agg(F.min("ord").alias("ord"), F.max("ord").alias("last"))
+    classes = _written(classes.withColumn("k", F.when(F.col("fixed"), key)), "classes")
+    firsts = classes.where("k is not null").groupBy("k").agg(F.max("last").alias("stands"))
+    same = _written(classes.where("fixed").join(firsts.hint("merge"), "k", "left").select("ord", "stands"), "stands")
+    pairs = _written(match_candidates(classes), "pairs")
+    state = _written(classes.select("ord", F.when(F.col("fixed"), True).alias("is_root")), "roots")
+    # Merge joins: what is broadcast would lie in the driver, once a round.
     for _ in range(rounds):
-        known = pairs.join(state.select(F.col("ord").alias("root"), F.col("is_root").alias("r")), "root")
+        known = pairs.where("root < ord").join(state.select(F.col("ord").alias("root"), F.col("is_root").alias("r")).hint("merge"), "root")
         seen = known.groupBy("ord").agg(F.max(F.coalesce("r", F.lit(False))).alias("some"), F.max(F.col("r").isNull()).alias("open"))
         now = F.when(F.col("is_root").isNotNull(), F.col("is_root")).when(F.coalesce("some", F.lit(False)), F.lit(False)).when(~F.coalesce("open", F.lit(False)), F.lit(True))
-        state = _written(state.join(seen, "ord", "left").select("ord", now.alias("is_root")), "roots")
+        state = _written(state.join(seen.hint("merge"), "ord", "left").select("ord", now.alias("is_root")), "roots")
         if state.where("is_root is null").isEmpty():
             break
     else:
         raise RuntimeError(f"merging did not settle in {rounds} rounds")
     roots = state.where("is_root").select(F.col("ord").alias("root"))
-    best = pairs.join(roots, "root").groupBy("ord").agg(F.min(F.struct("how", "root")).alias("b"))
-    best = best.join(state.where("not is_root"), "ord").select("ord", F.col("b.root").alias("root1"), F.col("b.how.rank").alias("rank"))
-    label = lambda i: F.create_map(*(F.lit(x) for m in METHODS for x in (m[0], m[i])))[F.col("rank")]
-    out = rows.join(same, "ord", "left").join(best, "ord", "left")
+    # Of the roots that a class meets in one way the first is before the others, for all of its rows: a class has a few ways.
+    first = pairs.join(roots.hint("merge"), "root").groupBy("ord", "how").agg(F.min("root").alias("root"))
     # A root of the first source may stand for several rows of one key: the last of them.
-    stands = same.select(F.col("ord").alias("root1"), F.col("root0").alias("root2"))
-    out = out.join(stands, "root1", "left")
-    return out.select(*rows.columns, F.coalesce("root2", "root1", "root0", "ord").alias("root"), label(1).alias("method"), label(2).alias("confidence"))
+    first = first.join(same.withColumnsRenamed({"ord": "root"}).hint("merge"), "root", "left")
+    ways = first.groupBy("ord").agg(F.collect_list(F.struct("how", "root", F.coalesce("stands", "root").alias("into"))).alias("ways"))
+    ways = classes.where("not fixed").join(ways.hint("merge"), "ord").select(*(F.col(c).alias(f"__{c}") for c in cols), "ways")
+    label = lambda i: F.create_map(*(F.lit(x) for m in METHODS for x in (m[0], m[i])))[F.col("b.how.rank")]
+    met = rows.withColumn("__free", F.col("wave") > 0)
+    met = met.join(ways.hint("merge"), reduce(and_, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cols), F.col("__free")), "left")
+    met = met.withColumn("b", F.array_min(F.filter("ways", lambda w: w["root"] < F.col("ord")))).withColumn("__k", F.when(fixed, key))
+    out = met.join(firsts.withColumnsRenamed({"k": "__own"}).hint("merge"), F.col("__k") == F.col("__own"), "left")
+    return out.select(*rows.columns, F.coalesce("b.into", "stands", "ord").alias("root"), label(1).alias("method"), label(2).alias("confidence"))
 
 
 def resolve_in_order(rows: list[dict]) -> dict[int, tuple[int, int | None]]:
