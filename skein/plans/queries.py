@@ -112,11 +112,12 @@ _BRANDED = "(SELECT a.p_partkey AS a, b.p_partkey AS b, a.p_name AS x, b.p_name
     FROM (SELECT *, list_sum(list_transform(list_distinct(string_split(x, '')), lambda c: least(length(x) - length(replace(x, c, '')), length(y) - length(replace(y, c, ''))))) AS common FROM {_BRANDED})""")
 def fuzzy_chars(spark, d):
     """STR-07, STR-08."""
-    p = table(spark, d, "part")
-    a = p.select(F.col("p_partkey").alias("a"), F.col("p_name").alias("x"), "p_size", "p_type")
-    b = p.select(F.col("p_partkey").alias("b"), F.col("p_name").alias("y"), "p_size", "p_type")
-    pairs = a.join(b, ["p_size", "p_type"]).where("a < b")
-    return pairs.select("a", "b", T.fuzzy_chars(F.col("x"), F.col("y")).alias("near"), T.fuzzy_names(F.col("x"), F.col("y")).alias("named"))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), "p_size", "p_type", F.col("p_name").alias("x"))
+    left = matching.alike(p, "id", "p_size", "p_type", "x")
+    right = left.withColumnsRenamed({"ids": "rids", "x": "y"})
+    pairs = matching.meet(left, right, ["p_size", "p_type"], "ids").where(F.col("ids")[0] < F.element_at("rids", -1))
+    pairs = pairs.select("ids", "rids", T.fuzzy_chars(F.col("x"), F.col("y")).alias("near"), T.fuzzy_names(F.col("x"), F.col("y")).alias("named"))
+    return matching.expanded(pairs, "near", "named").where("id < rid").withColumnsRenamed({"id": "a", "rid": "b"})
 
 
 @query("SELECT doc_id, sha256(text) AS hash, text ILIKE '%noindex%' IS NOT TRUE AS ix, length(text) AS n FROM documents")
