@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from .common import lean
+
 #: Neighbours whose validity a worker remembers.
 PAIRS = 300_000
 #: Bytes encoded at once, give or take a text; a longer text is cut at spaces that stand alone.
@@ -504,7 +506,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
             cols = [*batch.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)]
             yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names, "ids"])
 
-    return rest.mapInArrow(run, StructType([*rest.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
+    return rest.mapInArrow(lean(run), StructType([*rest.schema.fields, StructField("ids", ArrayType(IntegerType()))]))
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", id_col: str = "doc_id") -> DataFrame:
@@ -553,4 +555,4 @@ def digest_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays(cols, [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(lean(run), f"`{id_col}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

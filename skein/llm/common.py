@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +64,29 @@ def only_keys(large: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return large.join(F.broadcast(keys), key, "left_semi") if 8 * keys.count() <= KEY_BYTES else large
 
 
+def give_back() -> None:
+    """Hand memory that is free back to the system; allocators keep it else."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow, so that its worker gives memory back after each batch and at the end: workers wait for later
+    tasks, of other stages too, and what they keep adds to what the executor needs then."""
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = run(batches)
+        while (batch := next(made, None)) is not None:
+            yield batch
+            del batch
+            give_back()
+        del made
+        give_back()
+
+    return out
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

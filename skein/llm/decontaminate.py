@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, remove, written
+from .common import lean, partitions, remove, written
 
 BLOCK = 5_000
 #: Words of a passage in the matrix; dimensions of the sketch, and of the latent space.
@@ -103,7 +103,7 @@ def _numbered(docs: DataFrame, number: dict[bytes, int], id_col: str, text_col:
                 [batch.column(0), pa.array(out, pa.binary()), pa.array(rows, pa.list_(pa.struct([("w", pa.int32()), ("n", pa.int64())])))], ["id", "words", "df"]
             )
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, words binary, df array<struct<w:int,n:bigint>>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(lean(run), f"id {kind}, words binary, df array<struct<w:int,n:bigint>>")
 
 
 def latent_space(numbered: DataFrame, size: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +154,7 @@ def latent_space(numbered: DataFrame, size: int, seed: int = 1) -> tuple[np.ndar
         touched = np.flatnonzero(z.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(touched, pa.int32()), pa.array(list(z[touched]), pa.list_(pa.float64()))], ["w", "v"])
 
-    rows = numbered.select("words").coalesce(partitions(numbered.sparkSession)).mapInArrow(run, "w int, v array<double>")
+    rows = numbered.select("words").coalesce(partitions(numbered.sparkSession)).mapInArrow(lean(run), "w int, v array<double>")
     summed = rows.groupBy("w").agg(F.array(*(F.sum(F.col("v")[i]) for i in range(sketch))).alias("v"))
     z = np.zeros((size, sketch))
     for r in summed.collect():
@@ -333,6 +333,6 @@ def _block(docs: DataFrame, texts: list[tuple[object, str]], id_col: str, text_c
                 [id_col, item_col, "share", "answered", "at"],
             )
 
-    found = written(numbered.select("id", "words").mapInArrow(run, schema), "hits")
+    found = written(numbered.select("id", "words").mapInArrow(lean(run), schema), "hits")
     remove(spark, numbered)
     return found

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_join, written
+from .common import lean, salted_join, written
 
 P = (1 << 31) - 1
 BASES = (1_103_515_245, 1_664_525_013)
@@ -114,13 +114,13 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, h1, h2, size, sha) per row: documents of over `huge` bytes have their chunks hashed as separate rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = f"id {docs.schema[id_col].dataType.simpleString()}, h1 bigint, h2 bigint, size bigint, sha string"
-    small = rows.where(F.octet_length("text") <= huge).mapInArrow(_hashed, schema)
+    small = rows.where(F.octet_length("text") <= huge).mapInArrow(lean(_hashed), schema)
     large = rows.where(F.octet_length("text") > huge).select("id", _norm(F.col("text")).alias("text"))
     large = large.select("id", F.sha2(F.encode("text", "UTF-8"), 256).alias("sha"), F.explode(_pieces(F.col("text"), huge // 8)).alias("x"))
     chunks = (
         large.repartition("id", "sha", "x.no")
         .select(F.struct("id", "sha").alias("id"), "x.no", "x.piece")
-        .mapInArrow(_hashed_chunks, f"id struct<id:{docs.schema[id_col].dataType.simpleString()},sha:string>, no int, h1 bigint, h2 bigint, size bigint, s1 bigint, s2 bigint")
+        .mapInArrow(lean(_hashed_chunks), f"id struct<id:{docs.schema[id_col].dataType.simpleString()},sha:string>, no int, h1 bigint, h2 bigint, size bigint, s1 bigint, s2 bigint")
     )
     # A text has at most 2 GB, so its chunk hashes are a short list.
     step = lambda acc, x: F.struct(

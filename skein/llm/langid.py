@@ -23,12 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .common import lean
+
 #: Labelled documents fitted on at most, and their bytes at most (one document of each label may come on top); labels
 #: learned at most, the most frequent ones. They bound the driver's memory and what goes to the tasks.
 SAMPLE, SAMPLE_BYTES, LABELS = 1_500, 48 << 20, 100
 BUCKETS, EPOCHS, RATE, DECAY = 1 << 16, 6, 0.3, 1e-6
 #: Words in a chain at most (a longer line goes on in a next chain); padded words in a batch of chains.
 CHAIN, PADDED = 4096, 100_000
+#: Words whose features are looked up at once.
+WORDS = 1 << 12
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -122,8 +126,8 @@ class Crf:
     def emissions(self, words: list[str]) -> np.ndarray:
         """(word, label)."""
         out = np.zeros((len(words), len(self.labels)))
-        for i in range(0, len(words), 1 << 15):
-            part = words[i : i + (1 << 15)]
+        for i in range(0, len(words), WORDS):
+            part = words[i : i + WORDS]
             who, what = features(part)
             for j in range(len(self.labels)):
                 out[i : i + len(part), j] = np.bincount(who, self.weights[what, j], len(part))
@@ -278,7 +282,7 @@ def identify(docs: DataFrame, model: Crf, text_col: str = "text") -> DataFrame:
             cols = [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, [*batch.schema.names, "lang_pred", "score"])
 
-    return rest.mapInArrow(run, schema)
+    return rest.mapInArrow(lean(run), schema)
 
 
 def held_out(id_col: str, folds: int = 3, fold: int = 1):

@@ -19,14 +19,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import salted_join, written
+from .common import lean, salted_join, written
 from .graph import components
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Fingerprints in a tile at most, give or take the scatter of a hash.
 TILE = 1 << 16
-#: Shingles whose bits are unpacked at once (64 bytes each).
-SLAB = 1 << 18
+#: Shingles whose bits are unpacked at once, give or take a text of as many (64 bytes each, and 512 while they are summed).
+SLAB = 1 << 15
 _SPLIT = re.compile(rb"[\x20\x09-\x0D]+")
 
 
@@ -75,7 +75,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
         for i, text in enumerate(batch.column(1)):
             data = text.as_buffer().to_pybytes() if text.is_valid else b""
-            if len(data) > 16 * SLAB:
+            if len(data) > 2 * SLAB:  # perhaps more shingles than a slab has
                 out[i] = fingerprint(data)
                 continue
             hashes = shingle_hashes(data)
@@ -93,7 +93,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp) per row; a text without words, or null, has fingerprint zero."""
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        _fingerprints, f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint"
+        lean(_fingerprints), f"id {docs.schema[id_col].dataType.simpleString()}, fp bigint"
     )
 
 
@@ -171,7 +171,7 @@ def links(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFram
                 u, v = links_between(a, b, radius)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["a", "b"])
 
-    return rows.mapInArrow(compare, "a bigint, b bigint")
+    return rows.mapInArrow(lean(compare), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:

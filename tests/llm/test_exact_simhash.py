@@ -3,13 +3,16 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from skein.llm import exact, paragraphs, simhash
+from skein.llm.common import lean
 from skein.llm.graph import components
 from skein.llm.paragraphs import links_in, repeated_paragraphs, shingle_set, similarity, without_repeats
 
@@ -255,3 +258,37 @@ def test_links_in_matches_all_pairs():
                 got[a[0]] = got[b[0]] = min(got[a[0]], got[b[0]])
         assert up == got
     assert len(shingle_set(np.array([1, 2], np.uint64))) == 1
+
+
+def test_fingerprints_take_little_memory():
+    texts = [" ".join(f"w{i % 977}x{j % 89}" for j in range(2000)) for i in range(150)]  # 300,000 shingles
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150)), pa.array(texts)], ["id", "text"])
+    tracemalloc.start()
+    try:
+        (out,) = simhash._fingerprints(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 80e6
+    for i in (0, 77, 149):
+        assert out.column(1)[i].as_py() & (1 << 64) - 1 == simhash.fingerprint(texts[i].encode())
+
+
+def test_workers_give_memory_back():
+    def own() -> int:
+        with open("/proc/self/smaps_rollup") as f:
+            return sum(int(x.split()[1]) for x in f if x.startswith("Pss_Anon:")) // 1024
+
+    held = []
+
+    def run(batches):
+        for batch in batches:
+            texts = [b"%2000d" % i for i in range(100_000)]
+            held.append(b"%2000d" % 1)  # above them, so that the heap can't shrink from its end
+            yield batch
+            del texts
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1])], ["id"])
+    before = own()
+    assert list(lean(run)(iter([batch]))) == [batch]
+    assert own() < before + 100
