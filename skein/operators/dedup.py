@@ -165,26 +165,31 @@ def unified(resolved: DataFrame, source: str = "source") -> DataFrame:
     the rows lack are left out.
     """
     kinds = dict(resolved.dtypes)
-    order = F.struct("ord")
-    first = lambda c, ok: F.min_by(c, F.when(ok, order))
-    last = lambda c, ok: F.max_by(c, F.when(ok, order))
     of = lambda kind: F.col(source) == kind
     listed = of("encyclopedia") | of("yearlist")
     platform = ~listed & (F.col("wave") > 0)
     inexact = (F.col("confidence") < 95) & listed
-    cols = [first(c, of(k) & _present(c, kinds[c])).alias(c) for k, names in FILLS.items() for c in names if c in kinds]
-    cols += [last(c, of(k) & _present(c, kinds[c])).alias(c) for k, names in REPLACES.items() for c in names if c in kinds]
+    picks = {c: (F.min_by, F.lit(True)) for c in ("title", "year")} | {"director": (F.min_by, text(F.col("director")) != "")}
+    picks |= {c: (F.min_by, of(k) & _present(c, kinds[c])) for k, names in FILLS.items() for c in names if c in kinds}
+    picks |= {c: (F.max_by, of(k) & _present(c, kinds[c])) for k, names in REPLACES.items() for c in names if c in kinds}
+    picks |= {c: (F.max_by, inexact) for c in ("method", "confidence")}
     shown = [c for c in ("platform_url", "thumbnail_url", "banner_url") if c in kinds]
-    rows = resolved.groupBy("root").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("ord", source))), lambda s: s[source]).alias("all"),
-        F.min_by("title", order).alias("title"), F.min_by("year", order).alias("year"),
-        F.min_by("director", F.when(text(F.col("director")) != "", order)).alias("director"), *cols,
-        F.transform(F.array_sort(F.collect_list(F.when(platform, F.struct("ord", F.col(source).alias("platform"), *shown)))), lambda s: F.struct(s["platform"].alias("platform"), *(s[c].alias(c) for c in shown))).alias("platforms"),
-        last("method", inexact).alias("m"), last("confidence", inexact).alias("c"), F.max(F.when(platform & (F.col("confidence") < 95), F.struct("confidence", (-F.col("ord")).alias("o"), "method"))).alias("p"),
+    ends = {F.min_by: F.min, F.max_by: F.max}
+    # By root and source first: of a root's rows one for each source meets the others, with its platforms' entries.
+    each = resolved.groupBy("root", F.col(source).alias("__source")).agg(
+        F.min("ord").alias("__ord"), *(by(c, F.when(ok, F.col("ord"))).alias(c) for c, (by, ok) in picks.items()),
+        *(ends[by](F.when(ok, F.col("ord"))).alias(f"__ord_{c}") for c, (by, ok) in picks.items()),
+        F.collect_list(F.when(platform, F.struct("ord", F.col(source).alias("platform"), *shown))).alias("platforms"),
+        F.max(F.when(platform & (F.col("confidence") < 95), F.struct("confidence", (-F.col("ord")).alias("o"), "method"))).alias("p"),
+    )
+    rows = each.groupBy("root").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("__ord"), F.col("__source")))), lambda s: s["__source"]).alias("sources"),
+        *(by(c, f"__ord_{c}").alias({"method": "m", "confidence": "c"}.get(c, c)) for c, (by, _) in picks.items()),
+        F.transform(F.array_sort(F.flatten(F.collect_list("platforms"))), lambda s: F.struct(s["platform"].alias("platform"), *(s[c].alias(c) for c in shown))).alias("platforms"), F.max("p").alias("p"),
     )
     up = F.coalesce(F.col("p.confidence") > F.coalesce("c", F.lit(0)), F.lit(False))
     fields = [c for names in (*FILLS.values(), *REPLACES.values()) for c in names if c in kinds]
     return rows.select(
-        "root", "title", "year", "director", *fields, "platforms", F.array_distinct("all").alias("sources"), F.when(up, F.col("p.method")).otherwise(F.col("m")).alias("method"),
+        "root", "title", "year", "director", *fields, "platforms", "sources", F.when(up, F.col("p.method")).otherwise(F.col("m")).alias("method"),
         F.when(up, F.col("p.confidence")).otherwise(F.col("c")).alias("confidence"),
     )
