@@ -234,8 +234,7 @@ def candidate_pairs(spark, d):
 @query(f"SELECT id, rid, points, concat_ws('|', CASE WHEN probe = 0 THEN 'exact_title' ELSE 'director_year_only' END, CASE WHEN y THEN 'year' END, CASE WHEN w THEN 'director' END, CASE WHEN b THEN 'cast:*' END) AS signals FROM (SELECT x.*, t.p_size = r.p_size AS y, t.p_type = r.p_type AS w, t.p_brand = r.p_brand AS b FROM ({_PAIRS}) x JOIN part t ON t.p_partkey = id JOIN part r ON r.p_partkey = rid)")
 def match_score(spark, d):
     """MATH-01, JOIN-13, SET-04, STR-12."""
-    pairs = matching.scored_alike(*_catalogue(spark, d)).withColumn("signals", F.array_join("signals", "|"))
-    return matching.expanded(pairs, "points", "signals")
+    return matching.scored(*_catalogue(spark, d), said=lambda c: F.array_join(c, "|")).drop("probe")
 
 
 @query(f"SELECT id, rid, probe, points FROM ({_PAIRS}) WHERE points >= 50 QUALIFY row_number() OVER (PARTITION BY id ORDER BY points DESC, probe, rid) = 1")
